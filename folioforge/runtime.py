@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +32,24 @@ def build_session(app: str = "folioforge", master: str | None = None, **conf: st
     return b.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python this package, once a context; they need not have it installed."""
+    sc = spark.sparkContext
+    if getattr(sc, "_folioforge_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="folioforge-code-")
+    atexit.register(_remove_local, folder)
+    target = Path(folder, "folioforge_package.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent).as_posix())
+    sc.addPyFile(str(target))
+    sc._folioforge_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
