@@ -37,7 +37,7 @@ def canonical_record(text: str) -> tuple[list[str], str]:
     Byte-order marks, the kind of line end, white space at line ends and at the end, and Unicode composition make none;
     the order of entries neither. A text without a closed frontmatter is a body alone.
     """
-    t = text.replace("﻿", "").replace("\r\n", "\n").replace("\r", "\n")
+    t = text.replace("\ufeff", "").replace("\r\n", "\n").replace("\r", "\n")
     if not t.isascii() and not unicodedata.is_normalized("NFC", t):
         t = unicodedata.normalize("NFC", t)
     t = "\n".join([line.rstrip() for line in t.split("\n")]).rstrip()
