@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.llm.words import mix, shingles_of, words_of
+from folioforge.llm.words import mix, shingles_of, slices, words_of
 from folioforge.operators.components import connected_components
 from folioforge.runtime import staged
 
@@ -30,7 +30,7 @@ _ODD = mix(np.arange(1, SYMBOLS + 1, dtype=_U) * _U(0xA0761D6478BD642F)) | _U(1)
 
 
 def _sets(batches, run: int, least_words: int):
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, 1)):
         ids, texts = batch.column(0), batch.column(1).to_pylist()
         w = words_of(texts)
         owner, h = shingles_of(w, run)

@@ -6,10 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from folioforge.llm.chunks import split_oversized
+from folioforge.llm.encode import decode_column, encode_column
+from folioforge.llm.leakage import find_leaks
 from folioforge.llm.near_dup import near_duplicates
+from folioforge.llm.pii import personal_mentions, redacted_texts
 from folioforge.llm.sentences import sentences
-from folioforge.runtime import table
+from folioforge.llm.token_budget import count_tokens, one_language, one_spelling, token_budget
+from folioforge.runtime import bounded_broadcast, table
+
+#: Key of the pseudonyms in the queries; a deployment passes its own.
+DEMO_KEY = b"folioforge-demonstration-key"
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,10 +34,66 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences(table(spark, sf_dir, "provisions"), "row_id", "markdown")
 
 
+def _sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Provisions with the dimensions of the token budget in one spelling each."""
+    domains = table(spark, sf_dir, "instruments").select("instrument_id", one_spelling(F.col("domain")).alias("domain"))
+    rows = table(spark, sf_dir, "provisions").select(
+        "row_id", "instrument_id", "markdown", one_spelling(F.col("provider")).alias("provider"), one_language(F.col("lang")).alias("lang")
+    )
+    return rows.join(bounded_broadcast(domains.dropDuplicates(["instrument_id"])), "instrument_id", "left")
+
+
+def p3_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_budget(_sliced(spark, sf_dir), "markdown", ["provider", "lang", "domain"])
+
+
+def p3_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "provisions"), "markdown", ["row_id"]).select("row_id", "n_chars", "n_tokens")
+
+
+def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_column(table(spark, sf_dir, "documents"), "doc_id", "text", "byte_bpe_50k")
+
+
+def p6_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts decoded from their ids, by their digest: equal to the digest of the texts themselves."""
+    texts = decode_column(p6_ids(spark, sf_dir), "doc_id", "ids", "byte_bpe_50k")
+    return texts.select("doc_id", F.sha2("text", 256).alias("text_sha256"))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"), run=12)
+
+
+def p7_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every item, in how many documents it leaked."""
+    items = table(spark, sf_dir, "eval_items").select("item_id", "task")
+    hits = p7_found(spark, sf_dir).groupBy("item_id").agg(F.count("*").alias("n_docs"))
+    return items.join(hits, "item_id", "left").select("item_id", "task", F.coalesce("n_docs", F.lit(0)).alias("n_docs"))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_mentions(table(spark, sf_dir, "documents")).select("doc_id", "kind", "value").distinct()
+
+
+def p8_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return redacted_texts(table(spark, sf_dir, "documents"), DEMO_KEY)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
+    "p3_budget": p3_budget,
+    "p3_documents": p3_documents,
     "p4_found": p4_found,
     "p5_found": p5_found,
+    "p6_ids": p6_ids,
+    "p6_round_trip": p6_round_trip,
+    "p7_found": p7_found,
+    "p7_items": p7_items,
+    "p8_found": p8_found,
+    "p8_redacted": p8_redacted,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "p6_round_trip": "select doc_id, sha256(coalesce(text, '')) as text_sha256 from documents",
+}

@@ -44,7 +44,7 @@ _SINGLE = re.compile(r"[^\W\d_](?:\.[^\W\d_])+")
 _TOKEN = re.compile(r"[^\s()\[\]{}«»“”\"¿¡,;:/]*$")
 _LISTED = re.compile(r"[;:,]\s+(?:(?:y|e|o|u|and|or|et|ou)\s+)?$", re.I)
 _NUMBERED = re.compile(r"(?:art|arts|núm|num|no|fracc|inc|sec|al|párr|parr|anexo|título|capítulo|sección|section|annex)\.?\s+$", re.I)
-_LINE = re.compile("[^\n\r\x0b\x0c\x1c-\x1e\x85  ]+")
+_LINE = re.compile("[^\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]+")
 _LOWER = re.compile("[a-zß-öø-ÿ]")
 _ORDINAL = re.compile(r"\d+[oa]")
 _JOINED = re.compile(r"\s+(?:Y|E|O|U|ET|OU|AND|OR)\b")
@@ -65,7 +65,7 @@ def terminators() -> str:
 @cache
 def _event() -> re.Pattern:
     t = re.escape(terminators())
-    return re.compile(f"[.{t}]+|[{''.join(map(re.escape, QUOTES))}]|(?<={_THAI})[  ]+(?={_THAI})")
+    return re.compile(f"[.{t}]+|[{''.join(map(re.escape, QUOTES))}]|(?<={_THAI})[ \xa0]+(?={_THAI})")
 
 
 @cache
@@ -112,7 +112,7 @@ def _stop_ends(text: str, start: int, dot: int, after: int, end: int) -> bool:
         return True
     if k == "l":
         return False
-    if token and not text[start:dot].strip(" \t ").strip(token) and _MARKER.match(token + ". "):
+    if token and not text[start:dot].strip(" \t\xa0").strip(token) and _MARKER.match(token + ". "):
         return False  # the marker that opens the unit
     if low in MAY_END:
         if low == "s.a" and re.match(r"\s*de\b", text[after : after + 12], re.I):
@@ -157,7 +157,7 @@ def _line_units(text: str, begin: int, end: int, out: list) -> None:
             mark = text[i]
             while at < end and text[at] in CLOSE and text[at] != '"':
                 at += 1
-        elif mark[0] in "  ":
+        elif mark[0] in " \xa0":
             out.append((start, m.start()))
             start = at
             continue

@@ -93,3 +93,15 @@ def shingles_of(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     new = np.ones(len(h), bool)
     new[1:] = (owner[1:] != owner[:-1]) | (h[1:] != h[:-1])
     return owner[new], h[new]
+
+
+def slices(batch, column: int, octets: int = 4_000_000):
+    """Cut a batch of texts into runs of about `octets` bytes, so that a worker's arrays stay small; a longer text is a run."""
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = np.cumsum(sizes) // octets
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
