@@ -17,7 +17,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioforge.llm.words import mix, shingles_of, slices, words_of
@@ -25,6 +25,7 @@ from folioforge.operators.components import connected_components
 from folioforge.runtime import staged
 
 SYMBOLS, WIDTH = 64, 2
+FILTER_BITS = 1 << 23
 _U = np.uint64
 _ODD = mix(np.arange(1, SYMBOLS + 1, dtype=_U) * _U(0xA0761D6478BD642F)) | _U(1)
 
@@ -47,9 +48,34 @@ def _sets(batches, run: int, least_words: int):
         yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows)), lists], ["row_id", "bits"])
 
 
-def _blocks(batches, combine: bool):
+def bit_filter(values: DataFrame) -> np.ndarray:
+    """The single column's values as a bitmap of `FILTER_BITS` bits, by their low bits; made on the executors.
+
+    Its size is fixed, whatever the number of values: a fuller bitmap only lets more rows pass.
+    """
+    at = values.columns[0]
+    place = F.col(at).bitwiseAND(F.lit(FILTER_BITS - 1)) + 1
+    rows = values.groupBy(F.bitmap_bucket_number(place).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    for k, bits in rows:
+        out[(k - 1) * 4096 : k * 4096] = np.frombuffer(bits, np.uint8)
+    return out
+
+
+def _passes(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = values & (FILTER_BITS - 1)
+    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+
+
+def _some(batches, bitmap: np.ndarray):
+    """Rows whose first column may be among the bitmap's values."""
+    for batch in batches:
+        yield batch.filter(pa.array(_passes(bitmap, batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64))))
+
+
+def _blocks(batches, combine: bool, bitmap: np.ndarray | None = None):
     """Block rows (key, a = row, b = null). With `combine`, of equal blocks in a batch only the smallest row stays and
-    links (key, a = that row, b = other row) replace the rest."""
+    links (key, a = that row, b = other row) replace the rest. With a bitmap, only keys that it may hold."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -69,6 +95,9 @@ def _blocks(batches, combine: bool):
             keys.append(key)
         key = np.concatenate(keys).view(np.int64)
         row = np.tile(ids, len(keys))
+        if bitmap is not None:
+            some = _passes(bitmap, key)
+            key, row = key[some], row[some]
         none = np.zeros(len(key), bool)
         if combine:
             order = np.lexsort((row, key))
@@ -84,7 +113,9 @@ def _blocks(batches, combine: bool):
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) whose bit vectors are close enough; exact. Both joins use one exchange of `sets`."""
+    """Pairs (a, b) whose bit vectors are close enough; exact. Only sets that a pair may need are shuffled."""
+    needed = bit_filter(pairs.select("a").union(pairs.select("b")))
+    sets = sets.mapInArrow(partial(_some, bitmap=needed), "row_id long, bits array<int>")
     right = pairs.join(sets.withColumnsRenamed({"row_id": "b", "bits": "bits_b"}), "b")
     both = right.join(sets.withColumnsRenamed({"row_id": "a", "bits": "bits_a"}), "a")
     total = F.size("bits_a") + F.size("bits_b")
@@ -103,23 +134,24 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: float
     rows = df.select(F.col(id_col).cast("long").alias("row_id"), F.col(text_col).alias("text")).where("text is not null")
     sets = staged(rows.mapInArrow(partial(_sets, run=run, least_words=least_words), "row_id long, bits array<int>"), "sets")
     blocks = sets.mapInArrow(partial(_blocks, combine=True), "key long, a long, b long")
-    blocks = staged(blocks, "blocks")
-    leaders = blocks.where("b is null")
-    low = leaders.groupBy("key").agg(F.min("a").alias("low"), F.count("*").alias("n")).where("n > 1").select("key", "low")
-    star = leaders.join(low, "key").where("a > low").select("key", F.col("low").alias("a"), F.col("a").alias("b"))
-    edges = staged(blocks.where("b is not null").union(star), "edges")
-    links = staged(_linked(edges.select("a", "b").distinct(), sets, threshold), "links")
+    # a key has a row of each batch at the most, and its links
+    low = F.min(F.when(F.col("b").isNull(), F.col("a"))).over(Window.partitionBy("key"))
+    star = blocks.withColumn("low", low).where("b is not null or a > low")
+    edges = staged(star.select("key", F.when(F.col("b").isNull(), F.col("low")).otherwise(F.col("a")).alias("a"), F.coalesce("b", "a").alias("b")), "edges")
+    links = staged(_linked(staged(edges.select("a", "b").distinct(), "pairs"), sets, threshold), "links")
     classes = connected_components(links)
 
     named = lambda c: classes.select(F.col("node").alias(c), F.col("root").alias(f"class_{c}"))
     open_ = edges.join(named("a"), "a", "left").join(named("b"), "b", "left")
     open_ = open_.where("coalesce(class_a, a) <> coalesce(class_b, b)").select("key").distinct()
-    again = sets.mapInArrow(partial(_blocks, combine=False), "key long, a long, b long").select("key", "a")
+    open_ = staged(open_, "open")
+    again = sets.mapInArrow(partial(_blocks, combine=False, bitmap=bit_filter(open_)), "key long, a long, b long").select("key", "a")
     again = again.join(open_, "key").join(named("a"), "a", "left").select("key", "a", F.coalesce("class_a", "a").alias("class"))
     again = staged(again, "open")
     other = again.select("key", F.col("a").alias("b"), F.col("class").alias("other"))
     pairs = again.join(other, "key").where("a < b and class <> other").select("a", "b").distinct()
-    late = staged(_linked(pairs.join(edges.select("a", "b"), ["a", "b"], "left_anti"), sets, threshold), "links")
+    pairs = staged(pairs.join(edges.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    late = staged(_linked(pairs, sets, threshold), "links")
     if late.isEmpty():
         found = classes
     else:
