@@ -6,6 +6,9 @@ have a Jaccard similarity of t or more exactly if the Hamming distance of their
 symbols. Two fingerprints that differ in fewer symbols than there are blocks share a block for certain (pigeonhole);
 at t = 0.5 a pair misses all 32 blocks with a chance of 0.75^32 = 1e-4, at 0.6 of 6e-7.
 
+Pairs that share a block are first held against the Hamming distance of their fingerprints, two bits a symbol, 16 bytes a
+row; only those within it get the whole sets, and the exact distance decides.
+
 Buckets are never expanded into all pairs. Each batch links equal blocks to its smallest row, each bucket links the
 batches' leaders to their smallest one; links that verification refutes mark their bucket, and only buckets that still
 hold more than one class are compared fully, across classes.
@@ -13,6 +16,7 @@ hold more than one class are compared fully, across classes.
 
 from __future__ import annotations
 
+import math
 from functools import partial
 
 import numpy as np
@@ -30,6 +34,14 @@ _U = np.uint64
 _ODD = mix(np.arange(1, SYMBOLS + 1, dtype=_U) * _U(0xA0761D6478BD642F)) | _U(1)
 
 
+def _symbols(flat: np.ndarray, starts: np.ndarray):
+    """The min-wise symbols of each set, one array a symbol; `flat` holds the sets' members, `starts` where each begins."""
+    flat = mix(flat.astype(_U) + _U(1))
+    for odd in _ODD:
+        x = flat * odd
+        yield np.minimum.reduceat(x ^ (x >> _U(32)), starts)
+
+
 def _sets(batches, run: int, least_words: int):
     for batch in (part for whole in batches for part in slices(whole, 1)):
         ids, texts = batch.column(0), batch.column(1).to_pylist()
@@ -45,7 +57,13 @@ def _sets(batches, run: int, least_words: int):
         rows = np.flatnonzero(np.bincount(owner, minlength=len(texts)) > 0) if len(owner) else np.zeros(0, np.int64)
         offsets = np.append(np.searchsorted(owner, rows), len(owner)).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(bits.view(np.int32)))
-        yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows)), lists], ["row_id", "bits"])
+        high, low = np.zeros(len(rows), _U), np.zeros(len(rows), _U)
+        if len(rows):
+            for j, symbol in enumerate(_symbols(bits, offsets[:-1].astype(np.int64))):
+                two = mix(symbol)
+                high |= (two & _U(1)) << _U(j)
+                low |= ((two >> _U(1)) & _U(1)) << _U(j)
+        yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows)), lists, pa.array(high.view(np.int64)), pa.array(low.view(np.int64))], ["row_id", "bits", "high", "low"])
 
 
 def bit_filter(values: DataFrame) -> np.ndarray:
@@ -82,17 +100,13 @@ def _blocks(batches, combine: bool, bitmap: np.ndarray | None = None):
         ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
         lists = batch.column(1)
         starts = lists.offsets.to_numpy()[:-1].astype(np.int64)
-        flat = lists.values.to_numpy(zero_copy_only=False).view(np.uint32).astype(_U)
+        flat = lists.values.to_numpy(zero_copy_only=False).view(np.uint32)
         base = starts[0]
-        flat, starts = flat[base : lists.offsets[-1].as_py()], starts - base
-        flat = mix(flat + _U(1))
         keys = []
-        for j in range(0, SYMBOLS, WIDTH):
-            key = np.full(len(ids), j + 1, _U)
-            for i in range(j, j + WIDTH):
-                x = flat * _ODD[i]
-                key = mix(key * _U(0x9E3779B97F4A7C15) + np.minimum.reduceat(x ^ (x >> _U(32)), starts))
-            keys.append(key)
+        for i, symbol in enumerate(_symbols(flat[base : lists.offsets[-1].as_py()], starts - base)):
+            if i % WIDTH == 0:
+                keys.append(np.full(len(ids), i + 1, _U))
+            keys[-1] = mix(keys[-1] * _U(0x9E3779B97F4A7C15) + symbol)
         key = np.concatenate(keys).view(np.int64)
         row = np.tile(ids, len(keys))
         if bitmap is not None:
@@ -112,8 +126,24 @@ def _blocks(batches, combine: bool, bitmap: np.ndarray | None = None):
         yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(a), pa.array(b, mask=none)], ["key", "a", "b"])
 
 
+def most_differing(threshold: float) -> int:
+    """Symbols of which two bits differ in a pair at the threshold, at the most but for a chance of about 1e-4."""
+    p = 0.75 * (1 - threshold)
+    return min(SYMBOLS, math.ceil(SYMBOLS * p + 3.7 * math.sqrt(SYMBOLS * p * (1 - p))))
+
+
+def _near(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs whose fingerprints, two bits a symbol, are within the Hamming distance that the threshold allows."""
+    side = lambda c: sets.select(F.col("row_id").alias(c), F.col("high").alias(f"high_{c}"), F.col("low").alias(f"low_{c}"))
+    both = pairs.join(side("b"), "b").join(side("a"), "a")
+    differing = F.bit_count(F.col("high_a").bitwiseXOR(F.col("high_b")).bitwiseOR(F.col("low_a").bitwiseXOR(F.col("low_b"))))
+    return staged(both.where(differing <= most_differing(threshold)).select("a", "b"), "pairs")
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Pairs (a, b) whose bit vectors are close enough; exact. Only sets that a pair may need are shuffled."""
+    pairs = _near(pairs, sets, threshold)
+    sets = sets.select("row_id", "bits")
     needed = bit_filter(pairs.select("a").union(pairs.select("b")))
     sets = sets.mapInArrow(partial(_some, bitmap=needed), "row_id long, bits array<int>")
     right = pairs.join(sets.withColumnsRenamed({"row_id": "b", "bits": "bits_b"}), "b")
@@ -132,25 +162,26 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: float
     table gives an empty result.
     """
     rows = df.select(F.col(id_col).cast("long").alias("row_id"), F.col(text_col).alias("text")).where("text is not null")
-    sets = staged(rows.mapInArrow(partial(_sets, run=run, least_words=least_words), "row_id long, bits array<int>"), "sets")
-    blocks = sets.mapInArrow(partial(_blocks, combine=True), "key long, a long, b long")
+    sets = staged(rows.mapInArrow(partial(_sets, run=run, least_words=least_words), "row_id long, bits array<int>, high long, low long"), "sets")
+    members = sets.select("row_id", "bits")
+    blocks = members.mapInArrow(partial(_blocks, combine=True), "key long, a long, b long")
     # a key has a row of each batch at the most, and its links
     low = F.min(F.when(F.col("b").isNull(), F.col("a"))).over(Window.partitionBy("key"))
     star = blocks.withColumn("low", low).where("b is not null or a > low")
     edges = staged(star.select("key", F.when(F.col("b").isNull(), F.col("low")).otherwise(F.col("a")).alias("a"), F.coalesce("b", "a").alias("b")), "edges")
-    links = staged(_linked(staged(edges.select("a", "b").distinct(), "pairs"), sets, threshold), "links")
+    links = staged(_linked(edges.select("a", "b").distinct(), sets, threshold), "links")
     classes = connected_components(links)
 
     named = lambda c: classes.select(F.col("node").alias(c), F.col("root").alias(f"class_{c}"))
     open_ = edges.join(named("a"), "a", "left").join(named("b"), "b", "left")
     open_ = open_.where("coalesce(class_a, a) <> coalesce(class_b, b)").select("key").distinct()
     open_ = staged(open_, "open")
-    again = sets.mapInArrow(partial(_blocks, combine=False, bitmap=bit_filter(open_)), "key long, a long, b long").select("key", "a")
+    again = members.mapInArrow(partial(_blocks, combine=False, bitmap=bit_filter(open_)), "key long, a long, b long").select("key", "a")
     again = again.join(open_, "key").join(named("a"), "a", "left").select("key", "a", F.coalesce("class_a", "a").alias("class"))
     again = staged(again, "open")
     other = again.select("key", F.col("a").alias("b"), F.col("class").alias("other"))
     pairs = again.join(other, "key").where("a < b and class <> other").select("a", "b").distinct()
-    pairs = staged(pairs.join(edges.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    pairs = pairs.join(edges.select("a", "b"), ["a", "b"], "left_anti")
     late = staged(_linked(pairs, sets, threshold), "links")
     if late.isEmpty():
         found = classes
