@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -86,7 +87,22 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._folioforge_path = path
+    return out
+
+
+def release(spark: SparkSession, *done: DataFrame) -> None:
+    """Delete staged tables that nothing will read again and let the driver drop the shuffle files of finished stages.
+
+    Spark keeps shuffle files until the driver's collector finds their plans unreachable, which a short query never sees.
+    """
+    jvm = spark.sparkContext._jvm
+    for df in done:
+        path = jvm.org.apache.hadoop.fs.Path(df._folioforge_path)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    jvm.System.gc()
 
 
 def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
