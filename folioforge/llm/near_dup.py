@@ -21,12 +21,12 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioforge.llm.words import mix, shingles_of, slices, words_of
 from folioforge.operators.components import connected_components
-from folioforge.runtime import staged
+from folioforge.runtime import release, staged
 
 SYMBOLS, WIDTH = 64, 2
 FILTER_BITS = 1 << 23
@@ -132,25 +132,26 @@ def most_differing(threshold: float) -> int:
     return min(SYMBOLS, math.ceil(SYMBOLS * p + 3.7 * math.sqrt(SYMBOLS * p * (1 - p))))
 
 
-def _near(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Pairs whose fingerprints, two bits a symbol, are within the Hamming distance that the threshold allows."""
-    side = lambda c: sets.select(F.col("row_id").alias(c), F.col("high").alias(f"high_{c}"), F.col("low").alias(f"low_{c}"))
-    both = pairs.join(side("b"), "b").join(side("a"), "a")
-    differing = F.bit_count(F.col("high_a").bitwiseXOR(F.col("high_b")).bitwiseOR(F.col("low_a").bitwiseXOR(F.col("low_b"))))
-    return staged(both.where(differing <= most_differing(threshold)).select("a", "b"), "pairs")
+def _differing() -> Column:
+    """Symbols of which the two bits differ, between the columns of `_sketched`."""
+    return F.bit_count(F.col("high_a").bitwiseXOR(F.col("high_b")).bitwiseOR(F.col("low_a").bitwiseXOR(F.col("low_b"))))
+
+
+def _sketched(sets: DataFrame, side: str) -> DataFrame:
+    return sets.select(F.col("row_id").alias(side), F.col("high").alias(f"high_{side}"), F.col("low").alias(f"low_{side}"))
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) whose bit vectors are close enough; exact. Only sets that a pair may need are shuffled."""
-    pairs = _near(pairs, sets, threshold)
-    sets = sets.select("row_id", "bits")
+    """Staged pairs (a, b) whose bit vectors are close enough; exact. Only sets that a pair needs are shuffled."""
     needed = bit_filter(pairs.select("a").union(pairs.select("b")))
-    sets = sets.mapInArrow(partial(_some, bitmap=needed), "row_id long, bits array<int>")
+    sets = sets.select("row_id", "bits").mapInArrow(partial(_some, bitmap=needed), "row_id long, bits array<int>")
     right = pairs.join(sets.withColumnsRenamed({"row_id": "b", "bits": "bits_b"}), "b")
     both = right.join(sets.withColumnsRenamed({"row_id": "a", "bits": "bits_a"}), "a")
     total = F.size("bits_a") + F.size("bits_b")
     distance = total - 2 * F.size(F.array_intersect("bits_a", "bits_b"))
-    return both.where(distance * (1 + threshold) <= total * (1 - threshold) + 1e-9).select("a", "b")
+    out = staged(both.where(distance * (1 + threshold) <= total * (1 - threshold) + 1e-9).select("a", "b"), "links")
+    release(out.sparkSession, pairs)
+    return out
 
 
 def near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, run: int = 5, least_words: int = 0) -> DataFrame:
@@ -163,28 +164,37 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: float
     """
     rows = df.select(F.col(id_col).cast("long").alias("row_id"), F.col(text_col).alias("text")).where("text is not null")
     sets = staged(rows.mapInArrow(partial(_sets, run=run, least_words=least_words), "row_id long, bits array<int>, high long, low long"), "sets")
+    spark, limit = df.sparkSession, most_differing(threshold)
     members = sets.select("row_id", "bits")
     blocks = members.mapInArrow(partial(_blocks, combine=True), "key long, a long, b long")
     # a key has a row of each batch at the most, and its links
     low = F.min(F.when(F.col("b").isNull(), F.col("a"))).over(Window.partitionBy("key"))
     star = blocks.withColumn("low", low).where("b is not null or a > low")
     edges = staged(star.select("key", F.when(F.col("b").isNull(), F.col("low")).otherwise(F.col("a")).alias("a"), F.coalesce("b", "a").alias("b")), "edges")
-    links = staged(_linked(edges.select("a", "b").distinct(), sets, threshold), "links")
+    release(spark)
+    near = edges.select("a", "b").distinct().join(_sketched(sets, "b"), "b").join(_sketched(sets, "a"), "a")
+    near = staged(near.where(_differing() <= limit).select("a", "b"), "pairs")
+    release(spark)
+    links = _linked(near, sets, threshold)
     classes = connected_components(links)
 
+    # buckets that hold more than one class: all pairs of different classes whose fingerprints are near
     named = lambda c: classes.select(F.col("node").alias(c), F.col("root").alias(f"class_{c}"))
     open_ = edges.join(named("a"), "a", "left").join(named("b"), "b", "left")
-    open_ = open_.where("coalesce(class_a, a) <> coalesce(class_b, b)").select("key").distinct()
-    open_ = staged(open_, "open")
+    open_ = staged(open_.where("coalesce(class_a, a) <> coalesce(class_b, b)").select("key").distinct(), "open")
+    release(spark, edges)
     again = members.mapInArrow(partial(_blocks, combine=False, bitmap=bit_filter(open_)), "key long, a long, b long").select("key", "a")
-    again = again.join(open_, "key").join(named("a"), "a", "left").select("key", "a", F.coalesce("class_a", "a").alias("class"))
-    again = staged(again, "open")
-    other = again.select("key", F.col("a").alias("b"), F.col("class").alias("other"))
-    pairs = again.join(other, "key").where("a < b and class <> other").select("a", "b").distinct()
-    pairs = pairs.join(edges.select("a", "b"), ["a", "b"], "left_anti")
-    late = staged(_linked(pairs, sets, threshold), "links")
+    again = again.join(open_, "key").join(named("a"), "a", "left").join(_sketched(sets, "a"), "a")
+    again = staged(again.select("key", "a", F.coalesce("class_a", "a").alias("class_a"), "high_a", "low_a"), "again")
+    release(spark, open_)
+    other = again.toDF("key", "b", "class_b", "high_b", "low_b")
+    pairs = again.join(other, (again.key == other.key) & (F.col("a") < F.col("b")) & (F.col("class_a") != F.col("class_b")) & (_differing() <= limit))
+    pairs = staged(pairs.select("a", "b").distinct(), "pairs")
+    release(spark, again)
+    late = _linked(pairs, sets, threshold)
     if late.isEmpty():
         found = classes
     else:
-        found = connected_components(links.union(late))
+        found = connected_components(staged(links.union(late), "links"))
+    release(spark)
     return found.select(F.col("node").alias("row_id"), F.col("root").alias("group_id"))
