@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from folioforge.functions.text import fold, slug
 
-_NUMBER = r"[0-9][0-9,]*(?:[oa°º]\.?)?(?:-[A-ZÑ](?![a-z]))?(?:-[0-9]+)?(?:[ -](?i:bis|ter|qu[aá]ter|quinquies|sexies|septies|octies)(?:[ -][0-9]+)?)?"
+_NUMBER = r"[0-9]+(?:,[0-9]{3}(?![0-9]))*(?:[oa°º]\.?)?(?:-[A-ZÑ](?![a-z]))?(?:-[0-9]+)?(?:[ -](?i:bis|ter|qu[aá]ter|quinquies|sexies|septies|octies)(?:[ -][0-9]+)?)?"
 _LIST = rf"(?iu)art[ií]culos? ({_NUMBER}(?:(?:, | y | e | o | al | a ){_NUMBER})*)"
 #: What follows a number that belongs to another norm.
 _OTHER = r"(?u)^,? (?:de la|del|de los|de las|de) (?:Ley|Código|Reglamento|Constitución|Decreto|Estatuto|Disposiciones|citad[ao]|propi[ao]|referid[ao])"
