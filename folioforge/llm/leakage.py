@@ -53,7 +53,7 @@ def window_keys(hashes: np.ndarray, starts: np.ndarray, run: int, plan: list[lis
     """One row of keys a repetition, for the windows of `run` words that begin at `starts`."""
     keys = np.zeros((len(plan), len(starts)), _U)
     for rep, sampled in enumerate(plan):
-        moves = mix(hashes + _U(rep + 1) * _U(0x9E3779B97F4A7C15))
+        moves = mix(hashes + _U((rep + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
         more = mix(moves) if run * STEPS > 64 else moves
         for a in range(0, len(starts), _AT_ONCE):
             at = starts[a : a + _AT_ONCE]
