@@ -94,6 +94,13 @@ def _some(batches, bitmap: np.ndarray):
         yield batch.filter(pa.array(_passes(bitmap, batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64))))
 
 
+def _maybe_classed(batches, bitmap: np.ndarray):
+    """Links with a mark whether either end may be among the bitmap's values; where neither is, each is a class alone."""
+    for batch in batches:
+        a, b = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (1, 2))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_passes(bitmap, a) | _passes(bitmap, b))], ["key", "a", "b", "classed"])
+
+
 def _blocks(batches, combine: bool, bitmap: np.ndarray | None = None):
     """Block rows (key, a = row, b = null). With `combine`, of equal blocks in a batch only the smallest row stays and
     links (key, a = that row, b = other row) replace the rest. With a bitmap, only keys that it may hold."""
@@ -175,7 +182,8 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: float
     star = blocks.withColumn("low", low).where("b is not null or a > low")
     edges = staged(star.select("key", F.when(F.col("b").isNull(), F.col("low")).otherwise(F.col("a")).alias("a"), F.coalesce("b", "a").alias("b")), "edges")
     release(spark)
-    near = edges.select("a", "b").distinct().join(_sketched(sets, "b"), "b").join(_sketched(sets, "a"), "a")
+    # joined by a first: rows of an a are then together, and repeated pairs go without another shuffle
+    near = edges.select("a", "b").join(_sketched(sets, "a"), "a").dropDuplicates(["a", "b"]).join(_sketched(sets, "b"), "b")
     near = staged(near.where(_differing() <= limit).select("a", "b"), "pairs")
     release(spark)
     links = _linked(near, sets, threshold)
@@ -183,8 +191,11 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: float
 
     # buckets that hold more than one class: all pairs of different classes whose fingerprints are near
     named = lambda c: classes.select(F.col("node").alias(c), F.col("root").alias(f"class_{c}"))
-    open_ = edges.join(named("a"), "a", "left").join(named("b"), "b", "left")
-    open_ = staged(open_.where("coalesce(class_a, a) <> coalesce(class_b, b)").select("key").distinct(), "open")
+    some = edges.mapInArrow(partial(_maybe_classed, bitmap=bit_filter(classes.select("node"))), "key long, a long, b long, classed boolean")
+    alone = some.where("not classed").select("key")
+    split = some.where("classed").join(named("a"), "a", "left").join(named("b"), "b", "left")
+    split = split.where("coalesce(class_a, a) <> coalesce(class_b, b)").select("key")
+    open_ = staged(alone.union(split).distinct(), "open")
     release(spark, edges)
     again = members.mapInArrow(partial(_blocks, combine=False, bitmap=bit_filter(open_)), "key long, a long, b long").select("key", "a")
     again = again.join(open_, "key").join(named("a"), "a", "left").join(_sketched(sets, "a"), "a")
