@@ -136,10 +136,10 @@ def _blocks(batches, combine: bool, bitmap: np.ndarray | None = None):
         yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(a), pa.array(b, mask=none)], ["key", "a", "b"])
 
 
-def most_differing(threshold: float) -> int:
+def most_differing(threshold: float, deviations: float = 3.7) -> int:
     """Symbols of which two bits differ in a pair at the threshold, at the most but for a chance of about 1e-4."""
     p = 0.75 * (1 - threshold)
-    return min(SYMBOLS, math.ceil(SYMBOLS * p + 3.7 * math.sqrt(SYMBOLS * p * (1 - p))))
+    return min(SYMBOLS, math.ceil(SYMBOLS * p + deviations * math.sqrt(SYMBOLS * p * (1 - p))))
 
 
 def _differing() -> Column:
@@ -164,6 +164,20 @@ def _linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return out
 
 
+def _open_blocks(batches, bitmap: np.ndarray, classed: np.ndarray):
+    """(key, row, fingerprint, whether the row may have a class) of the blocks whose keys the bitmap may hold."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        for part in _blocks([batch.select([0, 1])], False, bitmap):
+            row = part.column(1).to_numpy(zero_copy_only=False)
+            order = np.argsort(ids, kind="stable")
+            at = pa.array(order[np.searchsorted(ids, row, sorter=order)])
+            cells = [part.column(0), part.column(1), batch.column(2).take(at), batch.column(3).take(at), pa.array(_passes(classed, row))]
+            yield pa.RecordBatch.from_arrays(cells, ["key", "a", "high_a", "low_a", "classed"])
+
+
 def near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, run: int = 5, least_words: int = 0) -> DataFrame:
     """(row_id, group_id) for every row in a group of two or more; group_id is the group's smallest row id.
 
@@ -197,10 +211,13 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: float
     split = split.where("coalesce(class_a, a) <> coalesce(class_b, b)").select("key")
     open_ = staged(alone.union(split).distinct(), "open")
     release(spark, edges)
-    again = members.mapInArrow(partial(_blocks, combine=False, bitmap=bit_filter(open_)), "key long, a long, b long").select("key", "a")
-    again = again.join(open_, "key").join(named("a"), "a", "left").join(_sketched(sets, "a"), "a")
-    again = staged(again.select("key", "a", F.coalesce("class_a", "a").alias("class_a"), "high_a", "low_a"), "again")
+    row = "key long, a long, high_a long, low_a long, classed boolean"
+    again = sets.mapInArrow(partial(_open_blocks, bitmap=bit_filter(open_), classed=bit_filter(classes.select("node"))), row)
+    own = again.where("not classed").select("key", "a", F.col("a").alias("class_a"), "high_a", "low_a")
+    joined = again.where("classed").join(named("a"), "a", "left").select("key", "a", F.coalesce("class_a", "a").alias("class_a"), "high_a", "low_a")
+    again = staged(own.union(joined), "again")
     release(spark, open_)
+    limit = most_differing(threshold, 3.0)
     other = again.toDF("key", "b", "class_b", "high_b", "low_b")
     pairs = again.join(other, (again.key == other.key) & (F.col("a") < F.col("b")) & (F.col("class_a") != F.col("class_b")) & (_differing() <= limit))
     pairs = staged(pairs.groupBy("a", "b").agg(F.count("*").alias("n")).where(F.col("n") >= SECOND_LOOK).select("a", "b"), "pairs")
@@ -208,7 +225,11 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: float
     late = _linked(pairs, sets, threshold)
     if late.isEmpty():
         found = classes
-    else:
-        found = connected_components(staged(links.union(late), "links"))
+    else:  # classes that the late links join; the smallest root is the smallest row
+        roots = late.join(named("a"), "a", "left").join(named("b"), "b", "left")
+        roots = staged(roots.select(F.coalesce("class_a", "a").alias("a"), F.coalesce("class_b", "b").alias("b")), "roots")
+        top = connected_components(roots).select(F.col("node").alias("root"), F.col("root").alias("top"))
+        both = classes.select("node", "root").union(roots.select("a", "a").union(roots.select("b", "b"))).distinct()
+        found = both.join(top, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
     release(spark)
     return found.select(F.col("node").alias("row_id"), F.col("root").alias("group_id"))
