@@ -209,14 +209,14 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: float
     alone = some.where("not classed").select("key")
     split = some.where("classed").join(named("a"), "a", "left").join(named("b"), "b", "left")
     split = split.where("coalesce(class_a, a) <> coalesce(class_b, b)").select("key")
-    open_ = staged(alone.union(split).distinct(), "open")
+    open_ = bit_filter(alone.union(split))
     release(spark, edges)
     row = "key long, a long, high_a long, low_a long, classed boolean"
-    again = sets.mapInArrow(partial(_open_blocks, bitmap=bit_filter(open_), classed=bit_filter(classes.select("node"))), row)
+    again = sets.mapInArrow(partial(_open_blocks, bitmap=open_, classed=bit_filter(classes.select("node"))), row)
     own = again.where("not classed").select("key", "a", F.col("a").alias("class_a"), "high_a", "low_a")
     joined = again.where("classed").join(named("a"), "a", "left").select("key", "a", F.coalesce("class_a", "a").alias("class_a"), "high_a", "low_a")
     again = staged(own.union(joined), "again")
-    release(spark, open_)
+    release(spark)
     limit = most_differing(threshold, 3.0)
     other = again.toDF("key", "b", "class_b", "high_b", "low_b")
     pairs = again.join(other, (again.key == other.key) & (F.col("a") < F.col("b")) & (F.col("class_a") != F.col("class_b")) & (_differing() <= limit))
