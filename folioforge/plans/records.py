@@ -289,6 +289,19 @@ def links(spark: SparkSession, d: str) -> DataFrame:
     return R.links_of(table(spark, d, "provisions"), "row_id", "markdown")
 
 
+@query("cross_instrument_links", "select e.edge_id, i.instrument_id, i.instrument_class from ref_edges e join instruments i on i.slug = regexp_extract(e.target_path, '^(?:\\.\\./)+([^/]+)/markdown/', 1)")
+def cross_instrument_links(spark: SparkSession, d: str) -> DataFrame:
+    dim = bounded_broadcast(table(spark, d, "instruments").select("slug", "instrument_id", "instrument_class"))
+    rows = table(spark, d, "ref_edges").select("edge_id", F.regexp_extract("target_path", r"^(?:\.\./)+([^/]+)/markdown/", 1).alias("slug"))
+    return rows.join(dim, "slug").select("edge_id", "instrument_id", "instrument_class")
+
+
+@query("link_kinds", "select case when contains(target_path, '/markdown/') then 'cross_instrument' when lower(label) in ('anterior', 'siguiente') then 'relative' when regexp_matches(label, '^[0-9]') then 'numeric' else 'term' end as computed, kind, count(*) as n from ref_edges group by 1, 2")
+def link_kinds(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "ref_edges").select(R.link_kind(F.col("label"), F.col("target_path")).alias("computed"), "kind")
+    return rows.groupBy("computed", "kind").agg(F.count("*").alias("n"))
+
+
 @query("edge_kinds", "select kind, resolved, count(*) as n, count(distinct target_id) as targets from ref_edges group by 1, 2")
 def edge_kinds(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "ref_edges").groupBy("kind", "resolved").agg(F.count("*").alias("n"), F.countDistinct("target_id").alias("targets"))
