@@ -6,18 +6,19 @@ have a Jaccard similarity of t or more exactly if the Hamming distance of their
 symbols. Two fingerprints that differ in fewer symbols than there are blocks share a block for certain (pigeonhole);
 at t = 0.5 a pair misses all 32 blocks with a chance of 0.75^32 = 1e-4, at 0.6 of 6e-7.
 
-Pairs that share a block are first held against the Hamming distance of their fingerprints, two bits a symbol, 16 bytes a
-row; only those within it get the whole sets, and the exact distance decides.
+Pairs that share a block are first held against the sizes of their sets (the distance is at least their difference) and
+the Hamming distance of their fingerprints, `SKETCH` bits a symbol, 32 bytes a row; only those within both get the whole
+sets, and the exact distance decides.
 
 Buckets are never expanded into all pairs. Each batch links equal blocks to its smallest row, each bucket links the
 batches' leaders to their smallest one; links that verification refutes mark their bucket, and only buckets that still
-hold more than one class are compared across classes, for pairs that share `SECOND_LOOK` blocks at the least.
+hold more than one class are compared across classes, each pair that shares a block.
 """
 
 from __future__ import annotations
 
 import math
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +29,11 @@ from folioforge.llm.words import mix, shingles_of, slices, words_of
 from folioforge.operators.components import connected_components
 from folioforge.runtime import release, staged
 
-SYMBOLS, WIDTH = 64, 2
+SYMBOLS, WIDTH, SKETCH = 64, 2, 4
 FILTER_BITS = 1 << 23
-#: Common blocks of a pair that is looked at only because its buckets' leaders are of another class. A pair at t = 0.5
-#: shares 8 on average and fewer than 3 with a chance of 0.7 %, one at 0.6 of 0.01 %.
-SECOND_LOOK = 3
+#: Columns of a row that pairs are filtered by: the size of its set and one bit of each symbol a column.
+FORM = ("n", *(f"s{k}" for k in range(SKETCH)))
+FORM_SCHEMA = "n int, " + ", ".join(f"{c} long" for c in FORM[1:])
 _U = np.uint64
 _ODD = mix(np.arange(1, SYMBOLS + 1, dtype=_U) * _U(0xA0761D6478BD642F)) | _U(1)
 
@@ -60,13 +61,14 @@ def _sets(batches, run: int, least_words: int):
         rows = np.flatnonzero(np.bincount(owner, minlength=len(texts)) > 0) if len(owner) else np.zeros(0, np.int64)
         offsets = np.append(np.searchsorted(owner, rows), len(owner)).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(bits.view(np.int32)))
-        high, low = np.zeros(len(rows), _U), np.zeros(len(rows), _U)
+        sketch = np.zeros((SKETCH, len(rows)), _U)
         if len(rows):
             for j, symbol in enumerate(_symbols(bits, offsets[:-1].astype(np.int64))):
-                two = mix(symbol)
-                high |= (two & _U(1)) << _U(j)
-                low |= ((two >> _U(1)) & _U(1)) << _U(j)
-        yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows)), lists, pa.array(high.view(np.int64)), pa.array(low.view(np.int64))], ["row_id", "bits", "high", "low"])
+                some = mix(symbol)
+                for k in range(SKETCH):
+                    sketch[k] |= ((some >> _U(k)) & _U(1)) << _U(j)
+        cells = [ids.take(pa.array(rows)), lists, pa.array(np.diff(offsets)), *(pa.array(x.view(np.int64)) for x in sketch)]
+        yield pa.RecordBatch.from_arrays(cells, ["row_id", "bits", *FORM])
 
 
 def bit_filter(values: DataFrame) -> np.ndarray:
@@ -136,19 +138,22 @@ def _blocks(batches, combine: bool, bitmap: np.ndarray | None = None):
         yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(a), pa.array(b, mask=none)], ["key", "a", "b"])
 
 
-def most_differing(threshold: float, deviations: float = 3.7) -> int:
-    """Symbols of which two bits differ in a pair at the threshold, at the most but for a chance of about 1e-4."""
-    p = 0.75 * (1 - threshold)
-    return min(SYMBOLS, math.ceil(SYMBOLS * p + deviations * math.sqrt(SYMBOLS * p * (1 - p))))
+def most_differing(threshold: float) -> int:
+    """Symbols whose sketches differ in a pair at the threshold, at the most but for a chance of 1e-4."""
+    p = (1 - 0.5**SKETCH) * (1 - threshold)
+    below = np.cumsum([math.comb(SYMBOLS, i) * p**i * (1 - p) ** (SYMBOLS - i) for i in range(SYMBOLS + 1)])
+    return int(np.flatnonzero(below >= 1 - 1e-4)[0])
 
 
-def _differing() -> Column:
-    """Symbols of which the two bits differ, between the columns of `_sketched`."""
-    return F.bit_count(F.col("high_a").bitwiseXOR(F.col("high_b")).bitwiseOR(F.col("low_a").bitwiseXOR(F.col("low_b"))))
+def _near(threshold: float) -> Column:
+    """Whether sizes and sketches, between the columns of `_sketched`, let a pair be close enough."""
+    differing = reduce(Column.bitwiseOR, [F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b")) for c in FORM[1:]])
+    sizes = F.abs(F.col("n_a") - F.col("n_b")) * (1 + threshold) <= (F.col("n_a") + F.col("n_b")) * (1 - threshold) + 1e-9
+    return sizes & (F.bit_count(differing) <= most_differing(threshold))
 
 
 def _sketched(sets: DataFrame, side: str) -> DataFrame:
-    return sets.select(F.col("row_id").alias(side), F.col("high").alias(f"high_{side}"), F.col("low").alias(f"low_{side}"))
+    return sets.select(F.col("row_id").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in FORM))
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -165,7 +170,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def _open_blocks(batches, bitmap: np.ndarray, classed: np.ndarray):
-    """(key, row, fingerprint, whether the row may have a class) of the blocks whose keys the bitmap may hold."""
+    """(key, row, size and sketch, whether the row may have a class) of the blocks whose keys the bitmap may hold."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -174,8 +179,8 @@ def _open_blocks(batches, bitmap: np.ndarray, classed: np.ndarray):
             row = part.column(1).to_numpy(zero_copy_only=False)
             order = np.argsort(ids, kind="stable")
             at = pa.array(order[np.searchsorted(ids, row, sorter=order)])
-            cells = [part.column(0), part.column(1), batch.column(2).take(at), batch.column(3).take(at), pa.array(_passes(classed, row))]
-            yield pa.RecordBatch.from_arrays(cells, ["key", "a", "high_a", "low_a", "classed"])
+            cells = [part.column(0), part.column(1), *(batch.column(c).take(at) for c in FORM), pa.array(_passes(classed, row))]
+            yield pa.RecordBatch.from_arrays(cells, ["key", "a", *FORM, "classed"])
 
 
 def near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, run: int = 5, least_words: int = 0) -> DataFrame:
@@ -187,8 +192,8 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: float
     table gives an empty result.
     """
     rows = df.select(F.col(id_col).cast("long").alias("row_id"), F.col(text_col).alias("text")).where("text is not null")
-    sets = staged(rows.mapInArrow(partial(_sets, run=run, least_words=least_words), "row_id long, bits array<int>, high long, low long"), "sets")
-    spark, limit = df.sparkSession, most_differing(threshold)
+    sets = staged(rows.mapInArrow(partial(_sets, run=run, least_words=least_words), f"row_id long, bits array<int>, {FORM_SCHEMA}"), "sets")
+    spark = df.sparkSession
     members = sets.select("row_id", "bits")
     blocks = members.mapInArrow(partial(_blocks, combine=True), "key long, a long, b long")
     # a key has a row of each batch at the most, and its links
@@ -198,7 +203,7 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: float
     release(spark)
     # joined by a first: rows of an a are then together, and repeated pairs go without another shuffle
     near = edges.select("a", "b").join(_sketched(sets, "a"), "a").dropDuplicates(["a", "b"]).join(_sketched(sets, "b"), "b")
-    near = staged(near.where(_differing() <= limit).select("a", "b"), "pairs")
+    near = staged(near.where(_near(threshold)).select("a", "b"), "pairs")
     release(spark)
     links = _linked(near, sets, threshold)
     classes = connected_components(links)
@@ -211,16 +216,16 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: float
     split = split.where("coalesce(class_a, a) <> coalesce(class_b, b)").select("key")
     open_ = bit_filter(alone.union(split))
     release(spark, edges)
-    row = "key long, a long, high_a long, low_a long, classed boolean"
+    row = f"key long, a long, {FORM_SCHEMA}, classed boolean"
     again = sets.mapInArrow(partial(_open_blocks, bitmap=open_, classed=bit_filter(classes.select("node"))), row)
-    own = again.where("not classed").select("key", "a", F.col("a").alias("class_a"), "high_a", "low_a")
-    joined = again.where("classed").join(named("a"), "a", "left").select("key", "a", F.coalesce("class_a", "a").alias("class_a"), "high_a", "low_a")
+    form = [F.col(c).alias(f"{c}_a") for c in FORM]
+    own = again.where("not classed").select("key", "a", F.col("a").alias("class_a"), *form)
+    joined = again.where("classed").join(named("a"), "a", "left").select("key", "a", F.coalesce("class_a", "a").alias("class_a"), *form)
     again = staged(own.union(joined), "again")
     release(spark)
-    limit = most_differing(threshold, 3.0)
-    other = again.toDF("key", "b", "class_b", "high_b", "low_b")
-    pairs = again.join(other, (again.key == other.key) & (F.col("a") < F.col("b")) & (F.col("class_a") != F.col("class_b")) & (_differing() <= limit))
-    pairs = staged(pairs.groupBy("a", "b").agg(F.count("*").alias("n")).where(F.col("n") >= SECOND_LOOK).select("a", "b"), "pairs")
+    other = again.toDF("key", "b", "class_b", *(f"{c}_b" for c in FORM))
+    pairs = again.join(other, (again.key == other.key) & (F.col("a") < F.col("b")) & (F.col("class_a") != F.col("class_b")) & _near(threshold))
+    pairs = staged(pairs.select("a", "b").distinct(), "pairs")
     release(spark, again)
     late = _linked(pairs, sets, threshold)
     if late.isEmpty():

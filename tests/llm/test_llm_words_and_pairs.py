@@ -3,6 +3,7 @@ import re
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from folioforge.llm import leakage, near_dup
@@ -87,6 +88,36 @@ def test_near_duplicates_equal_brute_force(spark, threshold, run, least):
     assert got == groups(rows, threshold, run, least)
 
 
+def blocks_of(texts):
+    rows = pa.record_batch([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["row_id", "text"])
+    out = [set() for _ in texts]
+    for part in near_dup._blocks(near_dup._sets([rows], 3, 0), False):
+        for key, row in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+            out[row].add(key)
+    return out
+
+
+@pytest.mark.parametrize("common", [1, 2])
+def test_a_pair_with_few_common_blocks_behind_a_leader_of_another_class(spark, common):
+    rng = random.Random(11)
+    texts = []
+    for _ in range(3000):
+        base = make(rng, 46)
+        texts += [" ".join(base), " ".join(base[:32] + make(rng, 14))]
+    blocks = blocks_of(texts)
+    sets = lambda t: {tuple(t.split()[k : k + 3]) for k in range(len(t.split()) - 2)}
+    alike = lambda a, b: 2 * len(sets(a) & sets(b)) >= len(sets(a) | sets(b))
+    i = next(i for i in range(0, len(texts), 2) if len(blocks[i] & blocks[i + 1]) == common and alike(texts[i], texts[i + 1]))
+    shared = sorted(sets(texts[i]) & sets(texts[i + 1]))
+    short = [" ".join(x + y) for x in shared for y in shared]
+    leaders = []  # smaller rows that lead the pair's common blocks and are like neither of the two
+    for key in blocks[i] & blocks[i + 1]:
+        leaders.append(short[next(n for n, b in enumerate(blocks_of(short)) if key in b)])
+    rows = [(n, t, "x", "y") for n, t in enumerate([*leaders, texts[i], texts[i + 1]])]
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(1), "row_id", "markdown", 0.5, 3).collect()
+    assert {(r.row_id, r.group_id) for r in got} == groups(rows, 0.5, 3, 0) and {common, common + 1} <= {r.row_id for r in got}
+
+
 def test_near_duplicates_of_nothing(spark):
     for rows in ([], [(1, None, "x", "y"), (2, "a", "x", "y")]):
         assert near_dup.near_duplicates(spark.createDataFrame(rows, SCHEMA), "row_id", "markdown").count() == 0
