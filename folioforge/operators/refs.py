@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import re
+from functools import partial
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from folioforge.functions.text import fold, slug
 
 _NUMBER = r"[0-9]+(?:,[0-9]{3}(?![0-9]))*(?:[oa°º]\.?)?(?:-[A-ZÑ](?![a-z]))?(?:-[0-9]+)?(?:[ -](?i:bis|ter|qu[aá]ter|quinquies|sexies|septies|octies)(?:[ -][0-9]+)?)?"
 _LIST = rf"(?iu)art[ií]culos? ({_NUMBER}(?:(?:, | y | e | o | al | a ){_NUMBER})*)"
+_WORD = re.compile(r"[^\W_]+")
 #: What follows a number that belongs to another norm.
 _OTHER = r"(?u)^,? (?:de la|del|de los|de las|de) (?:Ley|Código|Reglamento|Constitución|Decreto|Estatuto|Disposiciones|citad[ao]|propi[ao]|referid[ao])"
 
@@ -60,19 +66,37 @@ def neighbours(df: DataFrame, group: list[str], order: str, id_col: str) -> Data
     return df.select("*", F.lag(id_col).over(w).alias("previous_id"), F.lead(id_col).over(w).alias("next_id"))
 
 
-def term_matches(texts: DataFrame, id_col: str, text_col: str, terms: DataFrame, longest: int = 3) -> DataFrame:
-    """(id, term, start_pos): whole-word occurrences of terms of up to `longest` words, the first of each term in a text.
+def _grams(batches, lengths: list[int]):
+    """(id, term, start_pos) of each run of as many words as one of `lengths` says, as it stands in the text."""
+    for batch in batches:
+        rows, keys, starts = [], [], []
+        for i, text in enumerate(batch.column(1).to_pylist()):
+            words = [(m.group(), m.start()) for m in _WORD.finditer(text)]
+            for n in lengths:
+                for k in range(len(words) - n + 1):
+                    rows.append(i), keys.append(text[words[k][1] : words[k + n - 1][1] + len(words[k + n - 1][0])]), starts.append(words[k][1])
+        ids = batch.column(0).take(pa.array(rows, pa.int64()))
+        yield pa.RecordBatch.from_arrays([ids, pa.array(keys, pa.string()), pa.array(starts, pa.int32())], ["id", "term", "start_pos"])
+
+
+def term_matches(texts: DataFrame, id_col: str, text_col: str, terms: DataFrame, later: bool = False) -> DataFrame:
+    """(id, term, start_pos): whole-word occurrences of terms of any number of words, the first of each term in a text.
 
-    Texts are cut into word n-grams that are joined to the terms by equality; texts and terms are never crossed. The
-    longest term at a place wins. Matching is exact in case, as terms are capitalised.
+    Texts are cut into word n-grams, of the lengths that terms have, with their places; they are joined to the terms by
+    equality, texts and terms are never crossed. The longest term at a place wins: a term whose first place a longer one
+    takes is left out, or, with `later`, found where it first stands without it. Matching is exact in case, as terms are
+    capitalised, and in what stands between the words.
     """
-    tokens = F.filter(F.split(text_col, r"[^\p{L}\p{N}]+"), lambda x: x != "")
-    rows = texts.where(F.col(text_col).isNotNull()).select(id_col, F.col(text_col).alias("__t"), tokens.alias("w"))
-    grams = rows.select(id_col, "__t", F.explode(F.expr(f"array_distinct(flatten(transform(sequence(1, {longest}), n -> transform(sequence(1, greatest(size(w) - n + 1, 1)), i -> array_join(slice(w, i, n), ' ')))))")).alias("term"))
-    hits = grams.join(terms.select("term").distinct(), "term")
-    place = hits.select(id_col, "term", (F.expr("locate(term, __t)") - 1).alias("start_pos"))
-    w = Window.partitionBy(id_col, "start_pos").orderBy(F.length("term").desc())
-    return place.where("start_pos >= 0").withColumn("r", F.row_number().over(w)).where("r = 1").drop("r")
+    terms = terms.select("term").where("term is not null").distinct()
+    n_words = F.size(F.regexp_extract_all("term", F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
+    lengths = sorted(r[0] for r in terms.select(n_words).distinct().collect() if r[0])
+    rows = texts.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    schema = StructType([StructField("id", texts.schema[id_col].dataType), StructField("term", StringType()), StructField("start_pos", IntegerType())])
+    hits = rows.mapInArrow(partial(_grams, lengths=lengths), schema).join(terms, "term")
+    longest = F.max(F.length("term")).over(Window.partitionBy("id", "start_pos"))
+    hits = hits.select("id", "term", "start_pos", (F.length("term") < longest).alias("covered"))
+    first = (hits.where("not covered") if later else hits).groupBy("id", "term").agg(F.min(F.struct("start_pos", "covered")).alias("f"))
+    return first.where("not f.covered").select(F.col("id").alias(id_col), "term", "f.start_pos")
 
 
 def rewrite_spans(text: Column, spans: Column) -> Column:

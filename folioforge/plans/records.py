@@ -362,7 +362,7 @@ def range_refs(spark: SparkSession, d: str) -> DataFrame:
 @query("term_matches")
 def term_matches(spark: SparkSession, d: str) -> DataFrame:
     terms = table(spark, d, "ref_edges").where("kind = 'term'").select(F.col("label").alias("term")).distinct()
-    return R.term_matches(table(spark, d, "provisions"), "row_id", "markdown", terms)
+    return R.term_matches(table(spark, d, "provisions"), "row_id", "markdown", terms, later=True)
 
 
 @query("link_text", r"select row_id, regexp_replace(markdown, '\[([^\]\n]+)\]\([^)\s]+\)', '\1', 'g') as plain from provisions where markdown is not null")

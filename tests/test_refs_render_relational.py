@@ -33,6 +33,13 @@ def test_terms_first_and_longest(spark):
     assert {(r.id, r.term, r.start_pos) for r in refs.term_matches(texts, "id", "t", terms).collect()} == {(1, "Ley Marco", 3)}
 
 
+def test_terms_of_any_length_at_their_own_places(spark):
+    texts = spark.createDataFrame([(1, "Leyes: el Manual de Uniformes y Equipo, la Ley Marco y la Ley."), (2, "Ley Marco"), (3, "")], "id long, t string")
+    terms = spark.createDataFrame([("Ley",), ("Ley Marco",), ("Manual de Uniformes y Equipo",), (None,)], "term string")
+    want = {(1, "Manual de Uniformes y Equipo", 10), (1, "Ley Marco", 43), (1, "Ley", 58), (2, "Ley Marco", 0)}
+    assert {(r.id, r.term, r.start_pos) for r in refs.term_matches(texts, "id", "t", terms, later=True).collect()} == want
+
+
 def test_rewrite_spans(spark):
     df = spark.createDataFrame([("véase 12 y 13.", [(11, 13, "b.md"), (6, 8, "a.md")])], "t string, s array<struct<start int, end int, target string>>")
     assert df.select(refs.rewrite_spans(F.col("t"), F.col("s"))).first()[0] == "véase [12](a.md) y [13](b.md)."
