@@ -98,6 +98,18 @@ def test_mentions(text, want):
     assert [(k, text[a:b]) for a, b, k in pii.find_mentions(text)] == want
 
 
+@pytest.mark.parametrize("text,want", [
+    ("Ayer llegó María García al juzgado.", ["María García"]),
+    ("Then John Smith left.", ["John Smith"]),
+    ("Declara García, Juan que es titular.", ["García, Juan"]),
+    ("Declara García López, Juan que es titular.", ["García López, Juan"]),
+    ("Declara Juan García, Director General.", ["Juan García"]),
+    ("La Ley Federal del Trabajo rige en San José.", []),
+])
+def test_names_whose_surnames_are_in_no_list(text, want):
+    assert [text[a:b] for a, b, k in pii.find_mentions(text) if k == "name"] == want
+
+
 @pytest.mark.parametrize("value", ["ISVG661027AA2", "LCBV-761004-HXXPBL-81", "+52 81 0012 2313", "02-54-59-4748-5", "K57737537", "x", ""])
 def test_pseudonyms(value):
     key = b"k" * 16
