@@ -47,10 +47,11 @@ def prose_references(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     `external` tells that another norm's name follows, so that the number is not one of this instrument.
     """
     plain = F.regexp_replace(text_col, r"\[([^\]\n]+)\]\([^)\s]+\)", "$1")
-    found = F.regexp_extract_all("t", F.lit(_LIST + r".{0,40}"), F.lit(0))
+    # what follows is looked at and not taken, as it may hold the next reference
+    part = lambda n: F.regexp_extract_all("t", F.lit(_LIST + r"(?=(.{0,40}))"), F.lit(n))
+    found = F.arrays_zip(part(1).alias("list"), part(2).alias("tail"))
     rows = df.where(F.col(text_col).isNotNull()).select(id_col, plain.alias("t")).select(id_col, F.posexplode(found).alias("p", "m"))
-    rows = rows.withColumn("list", F.regexp_extract("m", _LIST, 1))
-    rows = rows.withColumn("tail", F.regexp_replace("m", "^" + _LIST, ""))
+    rows = rows.select(id_col, "p", "m.list", "m.tail")
     rows = rows.select(id_col, "p", F.col("tail").rlike(_OTHER).alias("external"), F.posexplode(F.split("list", r", | y | e | o | al | a (?=[0-9])")).alias("i", "raw"))
     return rows.select(id_col, (F.col("p") * 100 + F.col("i") + 1).alias("pos"), "raw", numbers_key(F.col("raw")).alias("key"), "external")
 

@@ -22,6 +22,11 @@ def test_prose_references(spark, text, keys):
     assert [r.key for r in refs.prose_references(df, "id", "t").orderBy("pos").collect()] == keys
 
 
+def test_a_reference_right_behind_another(spark):
+    df = spark.createDataFrame([(1, "artículo 160 y II del artículo 161 de la Ley General")], "id long, t string")
+    assert [(r.key, r.external) for r in refs.prose_references(df, "id", "t").orderBy("pos").collect()] == [("160", False), ("161", True)]
+
+
 def test_other_norms_are_external(spark):
     df = spark.createDataFrame([(1, "artículo 177 de la Ley General de Sociedades"), (2, "artículo 177 del presente")], "id long, t string")
     assert {r.id: r.external for r in refs.prose_references(df, "id", "t").collect()} == {1: True, 2: False}
