@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from folioforge.functions.text import fold, slug
+from folioforge.runtime import bounded_broadcast
 
 _NUMBER = r"[0-9]+(?:,[0-9]{3}(?![0-9]))*(?:[oa°º]\.?)?(?:-[A-ZÑ](?![a-z]))?(?:-[0-9]+)?(?:[ -](?i:bis|ter|qu[aá]ter|quinquies|sexies|septies|octies)(?:[ -][0-9]+)?)?"
 _LIST = rf"(?iu)art[ií]culos? ({_NUMBER}(?:(?:, | y | e | o | al | a ){_NUMBER})*)"
@@ -93,7 +94,7 @@ def term_matches(texts: DataFrame, id_col: str, text_col: str, terms: DataFrame,
     lengths = sorted(r[0] for r in terms.select(n_words).distinct().collect() if r[0])
     rows = texts.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     schema = StructType([StructField("id", texts.schema[id_col].dataType), StructField("term", StringType()), StructField("start_pos", IntegerType())])
-    hits = rows.mapInArrow(partial(_grams, lengths=lengths), schema).join(terms, "term")
+    hits = rows.mapInArrow(partial(_grams, lengths=lengths), schema).join(bounded_broadcast(terms), "term")
     longest = F.max(F.length("term")).over(Window.partitionBy("id", "start_pos"))
     hits = hits.select("id", "term", "start_pos", (F.length("term") < longest).alias("covered"))
     first = (hits.where("not covered") if later else hits).groupBy("id", "term").agg(F.min(F.struct("start_pos", "covered")).alias("f"))
