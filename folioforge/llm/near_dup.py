@@ -30,7 +30,8 @@ from folioforge.operators.components import connected_components
 from folioforge.runtime import release, staged
 
 SYMBOLS, WIDTH, SKETCH = 64, 2, 4
-FILTER_BITS = 1 << 23
+#: Bits of a filter for each of its values, and values up to which there is a filter (32 MB); beyond, rows are joined instead.
+BITS_A_VALUE, FILTER_VALUES = 32, 1 << 22
 #: Columns of a row that pairs are filtered by: the size of its set and one bit of each symbol a column.
 FORM = ("n", *(f"s{k}" for k in range(SKETCH)))
 FORM_SCHEMA = "n int, " + ", ".join(f"{c} long" for c in FORM[1:])
@@ -71,32 +72,38 @@ def _sets(batches, run: int, least_words: int):
         yield pa.RecordBatch.from_arrays(cells, ["row_id", "bits", *FORM])
 
 
-def bit_filter(values: DataFrame) -> np.ndarray:
-    """The single column's values as a bitmap of `FILTER_BITS` bits, by their low bits; made on the executors.
+def bit_filter(values: DataFrame, most: int = FILTER_VALUES) -> np.ndarray | None:
+    """The single column's values as a bitmap by their low bits, made on the executors; None if there are more than `most`.
 
-    Its size is fixed, whatever the number of values: a fuller bitmap only lets more rows pass.
+    It has 32 to 64 bits a value, whatever their number, so that it lets through one other value in 32 at the most.
     """
-    at = values.columns[0]
-    place = F.col(at).bitwiseAND(F.lit(FILTER_BITS - 1)) + 1
+    at, n = values.columns[0], values.count()
+    if n > most:
+        return None
+    size = 1 << max(20, (BITS_A_VALUE * n).bit_length())
+    place = F.col(at).bitwiseAND(F.lit(size - 1)) + 1
     rows = values.groupBy(F.bitmap_bucket_number(place).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
-    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    out = np.zeros(size // 8, np.uint8)
     for k, bits in rows:
         out[(k - 1) * 4096 : k * 4096] = np.frombuffer(bits, np.uint8)
     return out
 
 
-def _passes(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
-    at = values & (FILTER_BITS - 1)
+def _passes(bitmap: np.ndarray | None, values: np.ndarray) -> np.ndarray:
+    """Whether each value may be in the filter; without a filter, all may."""
+    if bitmap is None:
+        return np.ones(len(values), bool)
+    at = values & (8 * len(bitmap) - 1)
     return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
-def _some(batches, bitmap: np.ndarray):
-    """Rows whose first column may be among the bitmap's values."""
+def _some(batches, bitmap: np.ndarray | None, passing: bool = True):
+    """Rows whose first column may be among the bitmap's values, or the others."""
     for batch in batches:
-        yield batch.filter(pa.array(_passes(bitmap, batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64))))
+        yield batch.filter(pa.array(_passes(bitmap, batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)) == passing))
 
 
-def _maybe_classed(batches, bitmap: np.ndarray):
+def _maybe_classed(batches, bitmap: np.ndarray | None):
     """Links with a mark whether either end may be among the bitmap's values; where neither is, each is a class alone."""
     for batch in batches:
         a, b = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (1, 2))
@@ -153,12 +160,14 @@ def _near(threshold: float) -> Column:
 
 
 def _sketched(sets: DataFrame, side: str) -> DataFrame:
-    return sets.select(F.col("row_id").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in FORM))
+    # filters are the same on either side of a join, so that both share one shuffle
+    there = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in ("row_id", *FORM)])
+    return sets.where(there).select(F.col("row_id").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in FORM))
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+def _linked(pairs: DataFrame, sets: DataFrame, threshold: float, filter_values: int) -> DataFrame:
     """Staged pairs (a, b) whose bit vectors are close enough; exact. Only sets that a pair needs are shuffled."""
-    needed = bit_filter(pairs.select("a").union(pairs.select("b")))
+    needed = bit_filter(pairs.select("a").union(pairs.select("b")), filter_values)
     sets = sets.select("row_id", "bits").mapInArrow(partial(_some, bitmap=needed), "row_id long, bits array<int>")
     right = pairs.join(sets.withColumnsRenamed({"row_id": "b", "bits": "bits_b"}), "b")
     both = right.join(sets.withColumnsRenamed({"row_id": "a", "bits": "bits_a"}), "a")
@@ -169,21 +178,21 @@ def _linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return out
 
 
-def _open_blocks(batches, bitmap: np.ndarray, classed: np.ndarray):
-    """(key, row, size and sketch, whether the row may have a class) of the blocks whose keys the bitmap may hold."""
+def _open_blocks(batches, bitmap: np.ndarray | None):
+    """(key, row, class, size and sketch) of the blocks whose keys the bitmap may hold, of rows (row, bits, class, size and sketch)."""
     for batch in batches:
         if not batch.num_rows:
             continue
         ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        order = np.argsort(ids, kind="stable")
         for part in _blocks([batch.select([0, 1])], False, bitmap):
             row = part.column(1).to_numpy(zero_copy_only=False)
-            order = np.argsort(ids, kind="stable")
             at = pa.array(order[np.searchsorted(ids, row, sorter=order)])
-            cells = [part.column(0), part.column(1), *(batch.column(c).take(at) for c in FORM), pa.array(_passes(classed, row))]
-            yield pa.RecordBatch.from_arrays(cells, ["key", "a", *FORM, "classed"])
+            cells = [part.column(0), part.column(1), *(batch.column(c).take(at) for c in ("class", *FORM))]
+            yield pa.RecordBatch.from_arrays(cells, ["key", "row", "class", *FORM])
 
 
-def near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, run: int = 5, least_words: int = 0) -> DataFrame:
+def near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, run: int = 5, least_words: int = 0, filter_values: int = FILTER_VALUES) -> DataFrame:
     """(row_id, group_id) for every row in a group of two or more; group_id is the group's smallest row id.
 
     Rows are linked if the Jaccard similarity of their distinct `run`-word runs is at least `threshold`; a group is all
@@ -196,8 +205,8 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: float
     spark = df.sparkSession
     members = sets.select("row_id", "bits")
     blocks = members.mapInArrow(partial(_blocks, combine=True), "key long, a long, b long")
-    # a key has a row of each batch at the most, and its links
-    low = F.min(F.when(F.col("b").isNull(), F.col("a"))).over(Window.partitionBy("key"))
+    # a key's leaders, one a batch at the most, are a group, and each link is one of its own: no key gathers all its rows
+    low = F.min(F.when(F.col("b").isNull(), F.col("a"))).over(Window.partitionBy("key", "b"))
     star = blocks.withColumn("low", low).where("b is not null or a > low")
     edges = staged(star.select("key", F.when(F.col("b").isNull(), F.col("low")).otherwise(F.col("a")).alias("a"), F.coalesce("b", "a").alias("b")), "edges")
     release(spark)
@@ -205,29 +214,36 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: float
     near = edges.select("a", "b").join(_sketched(sets, "a"), "a").dropDuplicates(["a", "b"]).join(_sketched(sets, "b"), "b")
     near = staged(near.where(_near(threshold)).select("a", "b"), "pairs")
     release(spark)
-    links = _linked(near, sets, threshold)
-    classes = connected_components(links)
+    links = _linked(near, sets, threshold, filter_values)
+    classes = staged(connected_components(links), "classes")
 
     # buckets that hold more than one class: all pairs of different classes whose fingerprints are near
     named = lambda c: classes.select(F.col("node").alias(c), F.col("root").alias(f"class_{c}"))
-    some = edges.mapInArrow(partial(_maybe_classed, bitmap=bit_filter(classes.select("node"))), "key long, a long, b long, classed boolean")
+    known = bit_filter(classes.select("node"), filter_values)
+    some = edges.mapInArrow(partial(_maybe_classed, bitmap=known), "key long, a long, b long, classed boolean")
     alone = some.where("not classed").select("key")
     split = some.where("classed").join(named("a"), "a", "left").join(named("b"), "b", "left")
     split = split.where("coalesce(class_a, a) <> coalesce(class_b, b)").select("key")
-    open_ = bit_filter(alone.union(split))
+    keys = staged(alone.union(split), "keys")
     release(spark, edges)
-    row = f"key long, a long, {FORM_SCHEMA}, classed boolean"
-    again = sets.mapInArrow(partial(_open_blocks, bitmap=open_, classed=bit_filter(classes.select("node"))), row)
-    form = [F.col(c).alias(f"{c}_a") for c in FORM]
-    own = again.where("not classed").select("key", "a", F.col("a").alias("class_a"), *form)
-    joined = again.where("classed").join(named("a"), "a", "left").select("key", "a", F.coalesce("class_a", "a").alias("class_a"), *form)
-    again = staged(own.union(joined), "again")
-    release(spark)
-    other = again.toDF("key", "b", "class_b", *(f"{c}_b" for c in FORM))
-    pairs = again.join(other, (again.key == other.key) & (F.col("a") < F.col("b")) & (F.col("class_a") != F.col("class_b")) & _near(threshold))
+    open_ = bit_filter(keys, filter_values)
+    # rows that may have a class get it before they are cut into blocks, so that block rows take part in one shuffle only
+    kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sets.schema)
+    own = sets.mapInArrow(partial(_some, bitmap=known, passing=False), kind)
+    classed = sets.mapInArrow(partial(_some, bitmap=known), kind).join(classes.select(F.col("node").alias("row_id"), "root"), "row_id", "left")
+    form = [F.col(c) for c in FORM]
+    again = own.select("row_id", "bits", F.col("row_id").alias("class"), *form).union(classed.select("row_id", "bits", F.coalesce("root", "row_id").alias("class"), *form))
+    again = again.mapInArrow(partial(_open_blocks, bitmap=open_), f"key long, row long, class long, {FORM_SCHEMA}")
+    if open_ is None:
+        again = again.join(keys.distinct(), "key", "left_semi")
+    again = staged(again, "again")
+    release(spark, keys)
+    # both sides have the same plan but for names, so that they share one shuffle
+    side = lambda c: again.select(F.col("key").alias(f"key_{c}"), F.col("row").alias(c), F.col("class").alias(f"class_{c}"), *(F.col(x).alias(f"{x}_{c}") for x in FORM))
+    pairs = side("a").join(side("b"), F.expr("key_a = key_b and a < b and class_a <> class_b") & _near(threshold))
     pairs = staged(pairs.select("a", "b").distinct(), "pairs")
     release(spark, again)
-    late = _linked(pairs, sets, threshold)
+    late = _linked(pairs, sets, threshold, filter_values)
     if late.isEmpty():
         found = classes
     else:  # classes that the late links join; the smallest root is the smallest row

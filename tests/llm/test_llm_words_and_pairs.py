@@ -118,6 +118,20 @@ def test_a_pair_with_few_common_blocks_behind_a_leader_of_another_class(spark, c
     assert {(r.row_id, r.group_id) for r in got} == groups(rows, 0.5, 3, 0) and {common, common + 1} <= {r.row_id for r in got}
 
 
+@pytest.mark.parametrize("most", [0, 3])
+def test_near_duplicates_without_filters(spark, most):
+    """Beyond the size of a filter, rows are joined; the groups are the same."""
+    rng = random.Random(23)
+    texts = []
+    for _ in range(40):
+        base = make(rng, 46)
+        texts += [" ".join(base), " ".join(base[:40] + make(rng, 6)), " ".join(base[:30] + make(rng, 20))]
+    rows = [(n, t, "x", "y") for n, t in enumerate(texts + texts[:9])]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = near_dup.near_duplicates(df, "row_id", "markdown", 0.5, 3, filter_values=most).collect()
+    assert {(r.row_id, r.group_id) for r in got} == groups(rows, 0.5, 3, 0)
+
+
 def test_near_duplicates_of_nothing(spark):
     for rows in ([], [(1, None, "x", "y"), (2, "a", "x", "y")]):
         assert near_dup.near_duplicates(spark.createDataFrame(rows, SCHEMA), "row_id", "markdown").count() == 0
