@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioforge.runtime import release, staged
+
 
 def asof_join(left: DataFrame, right: DataFrame, keys: list[str], at: str, value: str, strict: bool = True) -> DataFrame:
     """Left rows with the right side's last `value` before (or at) their time: one shuffle by key, no join.
@@ -43,3 +45,27 @@ def session_starts(df: DataFrame, key: str, at: str, gap: str) -> DataFrame:
 
 def hourly(at: Column, size: str, slide: str | None = None) -> Column:
     return F.window(at, size, slide) if slide else F.window(at, size)
+
+
+def follow_chains(edges: DataFrame, src: str, dst: str) -> DataFrame:
+    """(root, last, steps) of every source: where its chain ends and how many steps away, of any length.
+
+    Of several targets the smallest is followed. Pointers are doubled: each round, an equi-join of one row a source, makes
+    chains twice as long known, so a chain of n steps takes log2(n) rounds. Chains that run into a circle never end: their
+    `last` and `steps` are null. Null ends count as no edge.
+    """
+    spark = edges.sparkSession
+    step = edges.where(F.col(src).isNotNull() & F.col(dst).isNotNull()).groupBy(F.col(src).alias("root")).agg(F.min(dst).alias("last"))
+    at = staged(step.withColumns({"steps": F.lit(1).cast("long"), "ended": F.lit(False)}), "chains")
+    reach, n = 1, at.count()
+    while reach <= 2 * n:
+        onward = at.select(F.col("root").alias("last"), F.col("last").alias("__to"), F.col("steps").alias("__more"), F.col("ended").alias("__ended"))
+        joined = at.join(onward, "last", "left")
+        go = ~F.col("ended") & F.col("__to").isNotNull()
+        moved = joined.select("root", F.when(go, F.col("__to")).otherwise(F.col("last")).alias("last"), F.when(go, F.col("steps") + F.col("__more")).otherwise(F.col("steps")).alias("steps"), F.when(go, F.col("__ended")).otherwise(F.lit(True)).alias("ended"))
+        before, at = at, staged(moved, "chains")
+        release(spark, before)
+        reach *= 2
+        if at.where("not ended").isEmpty():
+            break
+    return at.select("root", F.when(F.col("ended"), F.col("last")).alias("last"), F.when(F.col("ended"), F.col("steps")).alias("steps"))

@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 SCOPES = ("Artículo", "Párrafo", "Fracción", "Inciso", "Numeral", "Apartado", "Capítulo", "Sección", "Epígrafe", "Denominación")
 VERBS = ("parcialmente derogado", "reformado", "adicionado", "derogado", "recorrido", "reubicado", "original", "fe de erratas", "actualizada", "compilada")
 
-_SCOPE = rf"(?iu)^({'|'.join(SCOPES)})"
-_VERB = rf"(?iu)({'|'.join(VERBS)})"
-_DATE = r"(?<![0-9-])[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}(?![0-9-])|[0-9]{3,}-[0-9]{1,2}-[0-9]{4}"
+#: An annotation that takes a line, and one that ends a line of text: the scope's name, capitalised, and dates in one sentence.
+_STANDALONE = rf"(?i)^((?:{'|'.join(SCOPES)}).*)$"
+_INLINE = rf"(?:^|[^\p{{L}}])((?:{'|'.join(SCOPES)}) [^.]*DOF [0-9].*)$"
+_VERB = rf"({'|'.join(VERBS)})"
+_SCOPE_NAME = rf"^({'|'.join(SCOPES)})"
+_DATE = r"[0-9]+-[0-9]+-[0-9]+"
+_NARRATIVE = r"^Reforma DOF ([0-9]+-[0-9]+-[0-9]+): ((Reform|Adicion|Derog|Recorri|Reubic)[^ ]*.*)$"
 
 
 def gazette_date(raw: Column) -> Column:
@@ -21,17 +25,37 @@ def gazette_date(raw: Column) -> Column:
 
 
 def events_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, pos, seq, scope, verb, raw_date, event_date): one row for each date of each annotation, in order.
+    """(id, pos, seq, inline, scope, verb, raw_date, event_date): one row for each date of each annotation, in order.
 
-    Later sentences of an annotation inherit the scope of its first. `(sic DOF ...)` marks of a transcription are no events.
+    An annotation takes a line or, `inline`, stands behind the text of one. Its later sentences inherit the scope of the
+    first. `(sic DOF ...)` marks of a transcription are no events, and narrated reforms (`narrative_reforms`) neither.
     """
     clean = F.regexp_replace(text_col, r"\(sic DOF [^)]*\)", "")
     rows = df.where(F.col(text_col).isNotNull()).select(id_col, F.posexplode(F.split(clean, "\n")).alias("p", "line")).where("line like '%DOF %'")
-    rows = rows.withColumn("scope", F.nullif(F.regexp_extract("line", _SCOPE, 1), F.lit("")))
-    rows = rows.where("scope is not null").select(id_col, (F.col("p") + 1).alias("pos"), "scope", F.posexplode(F.split("line", r"\. ")).alias("s", "part"))
-    rows = rows.select(id_col, "pos", "scope", "s", F.lower(F.regexp_extract("part", _VERB, 1)).alias("verb"), F.posexplode(F.regexp_extract_all("part", F.lit(_DATE), F.lit(0))).alias("d", "raw_date"))
+    alone = F.nullif(F.regexp_extract("line", "(?u)" + _STANDALONE, 1), F.lit(""))
+    note = F.coalesce(alone, F.nullif(F.regexp_extract("line", _INLINE, 1), F.lit("")))
+    rows = rows.select(id_col, (F.col("p") + 1).alias("pos"), alone.isNull().alias("inline"), note.alias("note")).where("note is not null")
+    rows = rows.select(id_col, "pos", "inline", F.regexp_extract("note", "(?iu)" + _SCOPE_NAME, 1).alias("scope"), F.posexplode(F.split("note", r"\. ")).alias("s", "part"))
+    rows = rows.select(id_col, "pos", "inline", "scope", "s", F.lower(F.regexp_extract("part", "(?iu)" + _VERB, 1)).alias("verb"), F.posexplode(F.regexp_extract_all("part", F.lit(_DATE), F.lit(0))).alias("d", "raw_date"))
     seq = (F.col("s") * 1000 + F.col("d") + 1).alias("seq")
-    return rows.select(id_col, "pos", seq, "scope", F.nullif("verb", F.lit("")).alias("verb"), "raw_date", gazette_date(F.col("raw_date")).alias("event_date"))
+    return rows.select(id_col, "pos", seq, "inline", "scope", F.nullif("verb", F.lit("")).alias("verb"), "raw_date", gazette_date(F.col("raw_date")).alias("event_date"))
+
+
+def sql_events_of(key: str, text: str, table: str) -> str:
+    return rf"""(with l as (select {key}, unnest(k) as line, generate_subscripts(k, 1) as pos from (select {key}, string_split(regexp_replace({text}, '\(sic DOF [^)]*\)', '', 'g'), chr(10)) as k from {table} where {text} is not null)),
+      n as (select {key}, pos, nullif(regexp_extract(line, '{_STANDALONE}', 1), '') as alone, nullif(regexp_extract(line, '{_INLINE}', 1), '') as inl from l where line like '%DOF %'),
+      s as (select {key}, pos, alone is null as inline, regexp_extract(coalesce(alone, inl), '(?i){_SCOPE_NAME}', 1) as scope, string_split(coalesce(alone, inl), '. ') as k from n where coalesce(alone, inl) is not null),
+      p as (select {key}, pos, inline, scope, unnest(k) as part, generate_subscripts(k, 1) - 1 as s from s),
+      d as (select {key}, pos, inline, scope, s, nullif(lower(regexp_extract(part, '(?i){_VERB}', 1)), '') as verb, regexp_extract_all(part, '{_DATE}') as k from p),
+      e as (select {key}, pos, inline, scope, s, verb, unnest(k) as raw_date, generate_subscripts(k, 1) as d from d)
+      select {key}, pos, s * 1000 + d as seq, inline, scope, verb, raw_date, case when regexp_matches(raw_date, '^[0-9]{{1,2}}-[0-9]{{1,2}}-[0-9]{{4}}$') then try_strptime(raw_date, '%d-%m-%Y')::date end as event_date from e)"""
+
+
+def narrative_reforms(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, pos, raw_date, event_date, verb, told) of lines `Reforma DOF d: Derogó …`; the verb is its stem in lower case."""
+    rows = df.where(F.col(text_col).isNotNull()).select(id_col, F.posexplode(F.split(text_col, "\n")).alias("p", "line")).where(F.col("line").rlike(_NARRATIVE))
+    raw = F.regexp_extract("line", _NARRATIVE, 1)
+    return rows.select(id_col, (F.col("p") + 1).alias("pos"), raw.alias("raw_date"), gazette_date(raw).alias("event_date"), F.lower(F.regexp_extract("line", _NARRATIVE, 3)).alias("verb"), F.regexp_extract("line", _NARRATIVE, 2).alias("told"))
 
 
 def body_of(text: Column) -> Column:

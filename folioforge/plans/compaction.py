@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.operators.compaction import compact_files
+from folioforge.operators.compaction import compact_files, read_compacted
 from folioforge.plans.registry import query
-from folioforge.runtime import scratch, table
+from folioforge.runtime import release, scratch, staged, table
 
 #: Bytes of text an output file.
 TARGET_BYTES = 128 << 20
@@ -29,15 +29,21 @@ firsts as (
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files that the consolidated folder leaves out, by comparing it with the files that went in."""
     files = table(spark, sf_dir, "md_files")
+    return files.select("file_id").join(_kept(spark, files).select("file_id"), "file_id", "left_anti")
+
+
+def _kept(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """(file_id, path, bytes) of what the consolidated folder holds; the folder itself goes once it was read."""
     out = scratch(spark, "compacted")
     compact_files(files, out, TARGET_BYTES)
-    return files.select("file_id").join(spark.read.schema(files.schema).parquet(out).select("file_id"), "file_id", "left_anti")
+    whole = read_compacted(spark, out, files.schema)
+    whole._folioforge_path = out
+    held = staged(whole.select("file_id", "path", F.octet_length("markdown").cast("long").alias("bytes")), "held")
+    release(spark, whole)
+    return held
 
 
 @query("p1_compacted", _CLEAN + "select m.file_id, m.path, octet_length(encode(m.markdown)) as bytes from md_files m join firsts using (file_id)")
 def p1_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records that the consolidated folder holds."""
-    files = table(spark, sf_dir, "md_files")
-    out = scratch(spark, "compacted")
-    compact_files(files, out, TARGET_BYTES)
-    return spark.read.schema(files.schema).parquet(out).select("file_id", "path", F.octet_length("markdown").cast("long").alias("bytes"))
+    return _kept(spark, table(spark, sf_dir, "md_files"))

@@ -159,20 +159,23 @@ def distinct_counts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").groupBy("source").agg(F.countDistinct("lang").alias("langs"), F.countDistinct("instrument_id").alias("instruments"))
 
 
-@query("term_map", "select instrument_id, count(distinct label) as terms from ref_edges where kind = 'term' group by 1")
+@query("term_map", "select instrument_id, label as term, min(target_path) as target from ref_edges where kind = 'term' group by 1, 2")
 def term_map(spark: SparkSession, d: str) -> DataFrame:
+    """Every instrument's map of terms to targets, and its entries; an instrument's terms are few, its links are not gathered."""
     pairs = table(spark, d, "ref_edges").where("kind = 'term'").groupBy("instrument_id", "label").agg(F.min("target_path").alias("t"))
     maps = pairs.groupBy("instrument_id").agg(F.map_from_entries(F.collect_list(F.struct("label", "t"))).alias("m"))
-    return maps.select("instrument_id", F.size("m").cast("long").alias("terms"))
+    return maps.select("instrument_id", F.explode("m").alias("term", "target"))
 
 
-@query("chain", "with recursive e as (select distinct src_id, target_id from ref_edges where kind = 'relative' and resolved and src_id <> target_id), c(root, node, depth) as (select src_id, target_id, 1 from e union all select c.root, e.target_id, c.depth + 1 from c join e on e.src_id = c.node where c.depth < 4) select root, max(depth) as depth, count(*) as steps from c group by 1")
+@query("date_parts", "select date_trunc('month', o_orderdate) as month, count(*) as n, sum(date_diff('day', timestamp '1992-01-01', o_orderdate))::bigint as days from orders group by 1")
+def date_parts(spark: SparkSession, d: str) -> DataFrame:
+    days = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1992-01-01").cast("date"))
+    rows = table(spark, d, "orders").groupBy(F.date_trunc("month", F.col("o_orderdate")).cast("timestamp_ntz").alias("month"))
+    return rows.agg(F.count("*").alias("n"), F.sum(days).alias("days"))
+
+
+@query("chain", "with recursive e as (select src_id, min(target_id) as target_id from ref_edges where kind = 'relative' and resolved and src_id <> target_id group by 1), c(root, node, steps, path) as (select src_id, target_id, 1, [src_id, target_id] from e union all select c.root, e.target_id, c.steps + 1, list_append(c.path, e.target_id) from c join e on e.src_id = c.node where not list_contains(c.path, e.target_id)), l as (select root, arg_max(node, steps) as node, max(steps) as steps from c group by 1) select root, case when e.src_id is null then node end as last, case when e.src_id is null then steps end::bigint as steps from l left join e on e.src_id = l.node")
 def chain(spark: SparkSession, d: str) -> DataFrame:
-    """Chains of relative references, up to four steps, by a recursive query."""
-    e = table(spark, d, "ref_edges").where("kind = 'relative' and resolved and src_id <> target_id").select("src_id", "target_id").distinct()
-    e.createOrReplaceTempView("folioforge_relative")
-    return spark.sql("""
-      with recursive c(root, node, depth) as (
-        select src_id, target_id, 1 from folioforge_relative
-        union all select c.root, e.target_id, c.depth + 1 from c join folioforge_relative e on e.src_id = c.node where c.depth < 4)
-      select root, max(depth) as depth, count(*) as steps from c group by root""")
+    """Where chains of relative references end, whatever their length."""
+    e = table(spark, d, "ref_edges").where("kind = 'relative' and resolved and src_id <> target_id")
+    return R.follow_chains(e, "src_id", "target_id")

@@ -58,3 +58,41 @@ def test_mismatch_leaves_the_old_folder(spark, tmp_path, monkeypatch):
     with pytest.raises(RuntimeError):
         C.compact_files(spark.createDataFrame(rows(["dos"]), SCHEMA), out, 1000)
     assert spark.read.parquet(out).first()["markdown"] == "uno"
+
+
+def test_swapped_texts_are_noticed(spark, tmp_path, monkeypatch):
+    """Equal counts and bytes, but two texts under each other's id."""
+    out = f"file://{tmp_path}/out"
+    C.compact_files(spark.createDataFrame(rows(["uno", "dos"]), SCHEMA), out, 1000)
+    write = C._written
+    other = C.F.when(C.F.col("markdown") == "tres", "seis").when(C.F.col("markdown") == "seis", "tres").otherwise(C.F.col("markdown"))
+    monkeypatch.setattr(C, "_written", lambda df, path: write(df.withColumn("markdown", other), path))
+    with pytest.raises(RuntimeError):
+        C.compact_files(spark.createDataFrame(rows(["tres", "seis"], 2), SCHEMA), out, 1000)
+    assert {r.markdown for r in spark.read.parquet(out).collect()} == {"uno", "dos"}
+
+
+def test_null_and_repeated_ids(spark, tmp_path):
+    row = lambda i, t, p="p": (i, p, "f", t, None, "c")
+    data = [row(None, "sin id"), row(None, "otro sin id"), row(None, "con id"), row(4, "con id"), row(5, "uno"), row(5, "dos"), row(6, "igual"), row(6, "igual"), row(6, "igual", "q")]
+    report = C.compact_files(spark.createDataFrame(data, SCHEMA), f"file://{tmp_path}/out", 1000)
+    got = sorted((r.file_id or 0, r.markdown) for r in spark.read.parquet(f"file://{tmp_path}/out").collect())
+    assert got == [(0, "otro sin id"), (0, "sin id"), (4, "con id"), (5, "dos"), (5, "uno"), (6, "igual")]
+    assert (report["files_in"], report["kept"], report["repeated"]) == (9, 6, 3)
+
+
+def test_ranges_beyond_the_bound_are_cut_by_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(C, "MOST_RANGES", 3)
+    texts = [f"---\nid: urn:{i % 5}\n---\n{i} " + "y" * 1000 for i in range(300)]
+    out = f"{tmp_path}/out"
+    report = C.compact_files(spark.createDataFrame(rows(texts), SCHEMA), f"file://{out}", 25_000)
+    parts = [p for p in os.listdir(out) if p.endswith(".parquet")]
+    sizes = [spark.read.parquet(f"file://{out}/{p}").count() for p in parts]
+    assert report["kept"] == sum(sizes) == 300 and 9 <= len(parts) == report["files_out"] <= 15 and max(sizes) < 45
+
+
+def test_pointer(spark, tmp_path):
+    out = f"file://{tmp_path}/out"
+    for text in ("uno", "dos"):
+        C.compact_files(spark.createDataFrame(rows([text]), SCHEMA), out, 1000, pointer=True)
+        assert [r.markdown for r in C.read_compacted(spark, out).collect()] == [text]

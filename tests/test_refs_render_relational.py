@@ -32,6 +32,82 @@ def test_other_norms_are_external(spark):
     assert {r.id: r.external for r in refs.prose_references(df, "id", "t").collect()} == {1: True, 2: False}
 
 
+def test_headings_and_the_own_number_are_no_references(spark):
+    text = "> Título I\n\n# Artículo 5\n\nEl artículo 5 y el [artículo 7](articulo-7.md) del mismo.\n\nartículo 5 de la Ley General"
+    df = spark.createDataFrame([(1, text, "5"), (2, text, None)], "id long, t string, own string")
+    got = [(r.id, r.key, r.external) for r in refs.prose_references(df, "id", "t", "own").orderBy("id", "pos").collect()]
+    assert got == [(1, "7", False), (1, "5", True), (2, "5", False), (2, "7", False), (2, "5", True)]
+
+
+def test_ranges(spark):
+    df = spark.createDataFrame([(1, "artículos 3 al 5, 9 y 11 a 200; artículos 8 a 2; artículos 1 al 3 de la Ley General")], "id long, t string")
+    found = refs.prose_references(df, "id", "t")
+    assert [(r.key, r.range_end) for r in found.orderBy("pos").collect()] == [("3", False), ("5", True), ("9", False), ("11", False), ("200", True), ("8", False), ("2", True), ("1", False), ("3", True)]
+    spans = refs.reference_ranges(found, "id")
+    assert {(r.low, r.high) for r in spans.collect()} == {(3, 5), (11, 200)}
+    articles = spark.createDataFrame([("i", n, f"a{n}") for n in (2, 3, 5, 6, 12, 63, 64, 128, 200, 201)] + [("j", 4, "b4"), ("i", None, "x")], "g string, n int, a string")
+    got = {r.a for r in refs.expand_ranges(spans.withColumn("g", F.lit("i")), articles, ["g"]).collect()}
+    assert got == {"a3", "a5", "a12", "a63", "a64", "a128", "a200"}
+
+
+def test_relative_references_and_missed_tails(spark):
+    text = "# Artículo anterior\n\nEl artículo anterior y el ARTÍCULO SIGUIENTE; los artículos anteriores, el artículo precedente y el 87- I, no el 87-I."
+    df = spark.createDataFrame([(1, text), (2, None), (3, "")], "id long, t string")
+    assert [(r.id, r.pos, r.label) for r in refs.relative_references(df, "id", "t").orderBy("pos").collect()] == [(1, 1, "anterior"), (1, 2, "siguiente")]
+    assert [(r.id, r.number) for r in refs.missed_tails(df, "id", "t").collect()] == [(1, "87- I")]
+
+
+def test_neighbours_across_ranges(spark):
+    rng = __import__("random").Random(9)
+    rows = [("a" if rng.random() < 0.7 else rng.choice("bc"), rng.randrange(40), i) for i in range(300)] + [("d", 1, 999)]
+    df = spark.createDataFrame(rows, "g string, o int, id long")
+    got = {r.id: (r.previous_id, r.next_id) for r in refs.neighbours(df.repartition(5), ["g"], "o", "id").collect()}
+    want = {}
+    for g in "abcd":
+        ids = [i for _, _, i in sorted((x for x in rows if x[0] == g), key=lambda x: x[1:])]
+        want |= {i: (ids[k - 1] if k else None, ids[k + 1] if k + 1 < len(ids) else None) for k, i in enumerate(ids)}
+    assert got == want
+
+
+def test_cross_references_by_name_alias_and_term(spark):
+    texts = ["artículo 8 de la Ley de Aguas y Bosques, y artículo 9 de la LAB.", "artículo 7 de la Ley de Aguas", "artículo 3 de la Ley.", "artículo 4 de la Ley Minera; artículo 2 del presente"]
+    df = spark.createDataFrame([(i, "x" if i < 3 else "y", t) for i, t in enumerate(texts)], "id long, instrument_id string, t string")
+    names = spark.createDataFrame([("Ley de Aguas", "agua", None), ("Ley de Aguas y Bosques", "bosque", None), ("lab", "bosque", None), ("Ley", "minas", "x"), (None, "nada", None)], "name string, target string, owner string")
+    found = refs.prose_references(df.withColumn("k", F.struct("id", "instrument_id")), "k", "t").select("k.id", "k.instrument_id", "pos", "key", "external", "tail")
+    got = {(r.id, r.key): r.target_instrument for r in refs.cross_references(found, names).collect()}
+    assert got == {(0, "8"): "bosque", (1, "7"): "agua", (2, "3"): "minas", (3, "4"): None}
+
+
+def test_defined_terms_and_variants(spark):
+    text = "# Artículo 2\n\nPara esta Ley se entenderá por:\n\nI. Ley: la Ley de Aguas;\n\nII.- Tribunal Agrario: el [tribunal](x.md) que resuelve, y\n\na) Voz: otra"
+    df = spark.createDataFrame([(1, text), (2, "I. Ley: no define"), (3, None)], "id long, t string")
+    assert [(r.id, r.term, r.definition) for r in refs.defined_terms(df, "id", "t").collect()] == [(1, "Ley", "la Ley de Aguas;"), (1, "Tribunal Agrario", "el tribunal que resuelve, y"), (1, "Voz", "otra")]
+    words = ["Tribunal", "Tribunales", "Institución de Crédito", "Voz", "Leyes", "Unidad", "Bienes"]
+    got = spark.createDataFrame([(w,) for w in words], "t string").select(refs.number_variants(F.col("t")).alias("v")).collect()
+    assert [r.v[1:] for r in got] == [["Tribunales"], ["Tribunal"], ["Instituciones de Crédito"], ["Voces"], ["Leye"], ["Unidades"], ["Bien"]]
+
+
+def test_terms_inside_proper_names(spark):
+    texts = spark.createDataFrame([(1, "La Ley Federal de Aguas manda. El Código de la Ley Federal de Aguas y la Ley."), (2, "Ley Federal de Aguas")], "id long, t string")
+    terms, names = spark.createDataFrame([("Ley",), ("Aguas",)], "term string"), spark.createDataFrame([("Ley Federal de Aguas",), (None,)], "term string")
+    assert {(r.id, r.term, r.start_pos) for r in refs.term_matches(texts, "id", "t", terms, later=True, masks=names).collect()} == {(1, "Ley", 73)}
+
+
+def test_chains_of_any_length(spark):
+    edges = [(i, i + 1) for i in range(37)] + [(100, 101), (101, 102), (102, 100), (103, 100), (5, 90), (None, 1), (7, None)]
+    got = {r.root: (r.last, r.steps) for r in relational.follow_chains(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
+    assert got == {i: (37, 37 - i) for i in range(37)} | {i: (None, None) for i in (100, 101, 102, 103)}
+    assert relational.follow_chains(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from folioforge.__main__ import main
+
+    assert main([]) == 0 and "provision_status" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        main(["no_such_query", "--data", "x"])
+
+
 def test_terms_first_and_longest(spark):
     texts = spark.createDataFrame([(1, "La Ley Marco rige. La Ley y la Ley Marco."), (2, None), (3, "leyes")], "id long, t string")
     terms = spark.createDataFrame([("Ley",), ("Ley Marco",), ("Ley",)], "term string")
@@ -110,5 +186,5 @@ def test_global_rank(spark):
 
 
 def test_every_query_has_sql_or_a_reason():
-    without = {"events_of_bodies", "status_corrected", "lineage_edges", "prose_references", "term_matches"}
+    without = {"lineage_origins", "cross_references_by_term", "term_links"}
     assert set(catalogue.QUERIES) - set(catalogue.ORACLES) == without

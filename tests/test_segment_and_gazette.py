@@ -56,3 +56,31 @@ def test_status(spark, body, parity, corrected):
 def test_relocation(spark):
     df = spark.createDataFrame([(1, "Artículo reformado y recorrido (antes Artículo 118 Bis 1) DOF 11-12-2025")], "id long, t string")
     assert tuple(temporal.relocations_of(df, "id", "t").first()) == (1, "118 Bis 1", "11-12-2025")
+
+
+def test_split_into_provisions(spark):
+    raw = "Ley X\r\nArtículo 1o.- Uno.\r\nel artículo 9 sigue\nArtículo 2 Bis.- Dos.\nArtículo 353-Ñ\nTres\nTRANSITORIOS\nPrimero.- Vigor.\nVigésima Quinta. Otra\nPrimero que nada\nÚNICO\nFin"
+    df = spark.createDataFrame([(1, raw), (2, None), (3, "sin artículos"), (4, "")], "id long, t string")
+    got = [(r.id, r.pos, r.provision_type, r.number, r.body) for r in segment.split_provisions(df, "id", "t").orderBy("pos").collect()]
+    assert got == [
+        (1, 1, "article", "1o.", "Uno.\nel artículo 9 sigue"), (1, 2, "article", "2 Bis", "Dos."), (1, 3, "article", "353-Ñ", "Tres"),
+        (1, 4, "transitory", "Primero", "Vigor."), (1, 5, "transitory", "Vigésima Quinta", "Otra\nPrimero que nada"), (1, 6, "transitory", "ÚNICO", "Fin")]
+
+
+def test_furniture(spark):
+    text = "Uno\n12 de 40\nCÁMARA DE DIPUTADOS del Congreso\nDos 3 de 4\n  - 7 -\nÚltima Reforma DOF 1-1-2000\n== Fin de página 9 ==\nTres"
+    assert spark.createDataFrame([(text,)], "t string").select(segment.strip_furniture(F.col("t"))).first()[0] == "Uno\nDos 3 de 4\nTres"
+
+
+def test_inline_annotations_and_narrated_reforms(spark):
+    text = "# Artículo 3\n\nDe Zubel, S.A. de C.V. Fracción reformada, Fracción reformado DOF 02-08-1944, 24-02-1946. Reubicado DOF 1-3-1950\n\nPublicada en el DOF 3-4-1999 la ley\n\nReforma DOF 24-12-1996: Derogó del artículo el entonces párrafo"
+    df = spark.createDataFrame([(1, text)], "id long, t string")
+    got = [(r.pos, r.inline, r.scope, r.verb, r.raw_date) for r in temporal.events_of(df, "id", "t").orderBy("seq").collect()]
+    assert got == [(3, True, "Fracción", "reformado", "02-08-1944"), (3, True, "Fracción", "reformado", "24-02-1946"), (3, True, "Fracción", "reubicado", "1-3-1950")]
+    assert [(r.raw_date, r.event_date, r.verb, r.told) for r in temporal.narrative_reforms(df, "id", "t").collect()] == [("24-12-1996", datetime.date(1996, 12, 24), "derog", "Derogó del artículo el entonces párrafo")]
+
+
+def test_long_labels_stay_whole(spark):
+    label = "X" * 3000
+    df = spark.createDataFrame([(f"> Título {label} · Capítulo I",)], "t string")
+    assert df.select(segment.breadcrumb(F.col("t"))[0]["label"]).first()[0] == label
