@@ -27,11 +27,11 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split_oversized(table(spark, sf_dir, "provisions"), "row_id", "markdown", limit=1500, overlap=200)
+    return split_oversized(table(spark, sf_dir, "provisions"), "row_id", "markdown", limit=1500, overlap=200, lang_col="lang")
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentences(table(spark, sf_dir, "provisions"), "row_id", "markdown")
+    return sentences(table(spark, sf_dir, "provisions"), "row_id", "markdown", "lang")
 
 
 def _sliced(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,9 +1,9 @@
 """Sentence units across languages and scripts.
 
-The standard sentence-break classes decide: terminators of every script (STerm), the ambiguous full stop (ATerm), closing
-marks (Close), white space (Sp) and paragraph ends (ParaSep). A full stop needs evidence: what stands before it
-(abbreviation, initial, number, list marker) and what follows (case, digit, opening mark). Quoted passages are passed over
-whole, in one step, so nothing inside them divides.
+The standard sentence-break classes decide: terminators of every script (the Unicode property Sentence_Break=STerm), the
+ambiguous full stop (ATerm), closing marks (Close), white space (Sp) and paragraph ends (ParaSep). A full stop needs
+evidence: what stands before it (abbreviation of the text's language, initial, number, list marker) and what follows (case,
+digit, opening mark). Quoted passages are passed over whole, in one step, so nothing inside them divides.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,12 +25,14 @@ OPEN = "¿¡([{（［【“«「『„‹\"'‘"
 
 #: Abbreviations after which a sentence goes on, by language. Fixed values.
 GOES_ON = {
-    "es": "art arts fracc núm num párr parr inc lic ing dr dra sr sra srta dir gral edo av avda blvd prol col tel ext p ej pág pag págs cap tít secc exp ing arq mtro mtra prof cía cia sto sta fr ap apdo cfr vid vol",
+    "es": "no nos art arts fracc núm num párr parr inc lic ing dr dra sr sra srta dir gral edo av avda blvd prol col tel ext p ej pág pag págs cap tít secc exp ing arq mtro mtra prof cía cia sto sta fr ap apdo cfr vid vol",
     "en": "art sec no nos mr mrs ms dr prof st approx jan feb mar apr jun jul aug sep sept oct nov dec e.g i.e eg ie fig vol cf vs gen col capt ref",
     "fr": "art al no nos mme mlle m mm p ex sté ste cf chap fig vol av bd éd",
     "hi": "सं रु डॉ श्री कु",
     "de": "abs nr z b bzw dr prof art str",
 }
+#: Abbreviations that are also words: a sentence goes on only before a number, a numeral, a single letter or a sign.
+BEFORE_NUMBERS = frozenset("no nos art arts al sec fig vol cap".split())
 #: Abbreviations that may also end a sentence: they do if a capital, a digit or an opening mark follows.
 MAY_END = frozenset("etc hrs inc ltd co corp a.m p.m s.a c.v r.l".split())
 #: Of these, the ones that end a sentence where a text is all capitals and case tells nothing.
@@ -37,7 +40,7 @@ ENDS_IN_CAPS = frozenset(("etc", "c.v"))
 #: Letters that continue a sentence after a closed quotation in scripts without case.
 CONTINUES = frozenset("とをはがにのもでへや后後并並的、，,；;：:")
 
-_ABBREVIATIONS = frozenset(w for words in GOES_ON.values() for w in words.split())
+_COUNTED = re.compile(r"\s*(?:[^\w\s]|\d|[IVXLCDM]+\b|[^\W\d_]\b)")
 _MARKER = re.compile(r"(?:[IVXLCDM]+|\d{1,3}|[^\W\d_])(?:\.-|\.|\))(?=\s)|\([^\W_]{1,4}\)(?=\s)")
 _ROMAN = re.compile(r"[IVXLCDM]+")
 _SINGLE = re.compile(r"[^\W\d_](?:\.[^\W\d_])+")
@@ -51,15 +54,18 @@ _JOINED = re.compile(r"\s+(?:Y|E|O|U|ET|OU|AND|OR)\b")
 _THAI = "[ก-๛]"
 
 
+@cache
+def abbreviations(lang: str | None) -> frozenset:
+    """The abbreviations of a language (`es`, `es-MX`, in any case), those of all where it is not known."""
+    own = GOES_ON.get(re.split("[-_]", (lang or "").strip().lower())[0])
+    return frozenset((own or " ".join(GOES_ON.values())).split())
+
+
 @cache
 def terminators() -> str:
-    """Characters with the property Sentence_Terminal other than the full stops, as far as the names tell them."""
-    marks = set("!?…।॥؟۔။።፧፨።᙮᠃᠉‼⁇⁈⁉。．！？｡꘎꘏꛳꛷꡶꡷꣎꣏꤯꧈꧉꩝꩞꩟꫰꫱꯫")
-    for cp in range(0x80, min(0x12000, sys.maxunicode)):
-        name = unicodedata.name(chr(cp), "")
-        if unicodedata.category(chr(cp)) == "Po" and re.search(r"\b(FULL STOP|QUESTION MARK|EXCLAMATION MARK|DANDA)\b", name) and "INVERTED" not in name:
-            marks.add(chr(cp))
-    return "".join(sorted(marks))
+    """The characters of Sentence_Break=STerm in all scripts, and marks that end a sentence as they do."""
+    every = "".join(map(chr, (*range(0xD800), *range(0xE000, sys.maxunicode + 1))))
+    return "".join(sorted({*regex.findall(r"\p{Sentence_Break=STerm}", every), *"…．｡"}))
 
 
 @cache
@@ -90,7 +96,7 @@ def _capitals(text: str, start: int, dot: int) -> bool:
     return not _LOWER.search(text, max(start, dot - 14), dot)
 
 
-def _stop_ends(text: str, start: int, dot: int, after: int, end: int) -> bool:
+def _stop_ends(text: str, start: int, dot: int, after: int, end: int, goes_on: frozenset) -> bool:
     """Whether the full stop at `dot` ends the unit that began at `start`; `after` is behind the closing marks."""
     ch = text[after]
     token = _TOKEN.search(text, max(start, dot - 40), dot).group()
@@ -101,12 +107,12 @@ def _stop_ends(text: str, start: int, dot: int, after: int, end: int) -> bool:
             return False
         tail = re.split(r"[.\-]", low)[-1]
         if k == "d":
-            return tail.isalpha() and len(tail) > 2 and low not in _ABBREVIATIONS
+            return tail.isalpha() and len(tail) > 2 and low not in goes_on
         if low in MAY_END:
             return k == "U" and _kind(text[after + 1 : after + 2] or " ") == "l" or low == "etc"
         if _SINGLE.fullmatch(low) or "@" in token or "//" in token:
             return False
-        return (len(tail) > 2 or token[-1].isdigit()) and low not in _ABBREVIATIONS
+        return (len(tail) > 2 or token[-1].isdigit()) and low not in goes_on
     k = _next_kind(text, after, end)
     if not k:
         return True
@@ -118,8 +124,10 @@ def _stop_ends(text: str, start: int, dot: int, after: int, end: int) -> bool:
         if low == "s.a" and re.match(r"\s*de\b", text[after : after + 12], re.I):
             return False
         return low in ENDS_IN_CAPS or not _capitals(text, start, dot)
-    if _SINGLE.fullmatch(low) or low in _ABBREVIATIONS:
+    if _SINGLE.fullmatch(low):
         return False
+    if low in goes_on:
+        return low in BEFORE_NUMBERS and not _COUNTED.match(text, after, end)
     before = text[max(start, dot - len(token) - 14) : dot - len(token)]
     if _ROMAN.fullmatch(token) or token.isdigit() and len(token) < 4 or len(token) == 1 and token.isalpha():
         if _LISTED.search(before) and not token.isdigit():
@@ -129,7 +137,7 @@ def _stop_ends(text: str, start: int, dot: int, after: int, end: int) -> bool:
     return not (token[-1:].isupper() and _ORDINAL.fullmatch(low))
 
 
-def _line_units(text: str, begin: int, end: int, out: list) -> None:
+def _line_units(text: str, begin: int, end: int, out: list, goes_on: frozenset) -> None:
     while begin < end and text[begin].isspace():
         begin += 1
     while end > begin and text[end - 1].isspace():
@@ -181,7 +189,7 @@ def _line_units(text: str, begin: int, end: int, out: list) -> None:
         elif len(mark) > 1:
             cut = text[at].isspace() and _next_kind(text, at, end) not in ("l",)
         else:
-            cut = _stop_ends(text, start, m.start(), at, end)
+            cut = _stop_ends(text, start, m.start(), at, end, goes_on)
         if cut:
             out.append((start, at))
             start = at
@@ -194,24 +202,26 @@ def _line_units(text: str, begin: int, end: int, out: list) -> None:
         out.append((start, end))
 
 
-def sentence_units(text: str | None) -> list[tuple[int, int]]:
+def sentence_units(text: str | None, lang: str | None = None) -> list[tuple[int, int]]:
     """(start, end) of every unit in code points, in order, without surrounding white space. Null, empty and blank give none.
 
     All text but white space between units lies in exactly one unit. A line end always ends a unit; breadcrumb (`>`) and
     heading (`#`) lines are one unit each; a marker that opens a list item belongs to the item's first unit. Quotation marks
-    that are never closed on their line divide nothing and hide nothing. Lone surrogates count as one character.
+    that are never closed on their line divide nothing and hide nothing. Lone surrogates count as one character. `lang` picks
+    the abbreviations; null and unknown languages have those of all.
     """
     out: list[tuple[int, int]] = []
+    goes_on = abbreviations(lang)
     for m in _LINE.finditer(text or ""):
-        _line_units(text, m.start(), m.end(), out)
+        _line_units(text, m.start(), m.end(), out, goes_on)
     return out
 
 
 def _flat(batches):
     for batch in batches:
         starts, ends, counts = [], [], []
-        for text in batch.column(1).to_pylist():
-            units = sentence_units(text)
+        for text, lang in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            units = sentence_units(text, lang)
             counts.append(len(units))
             starts += [a for a, _ in units]
             ends += [b for _, b in units]
@@ -219,22 +229,16 @@ def _flat(batches):
         yield pa.RecordBatch.from_arrays([ids, pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], ["row_id", "start_pos", "end_pos"])
 
 
-def _lists(batches):
-    for batch in batches:
-        texts = batch.column(1)
-        ends = pa.array([[b for _, b in sentence_units(t)] for t in texts.to_pylist()], pa.list_(pa.int32()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), texts, ends], ["row_id", "text", "ends"])
+def language(lang_col: str | None):
+    """The column of languages as text, null without one."""
+    return (F.lit(None) if lang_col is None else F.col(lang_col)).cast("string").alias("lang")
 
 
-def sentences(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def sentences(df: DataFrame, id_col: str, text_col: str, lang_col: str | None = None) -> DataFrame:
     """(row_id, start_pos, end_pos): every sentence unit of every row; a narrow pass, without a shuffle.
 
-    Null, empty and blank texts give no row. Rows with the same id each give their own units. Other columns are ignored.
+    Null, empty and blank texts give no row. Rows with the same id each give their own units. `lang_col` holds languages in
+    any spelling; null and unknown ones have the abbreviations of all. Other columns are ignored.
     """
-    rows = df.select(F.col(id_col).cast("long").alias("row_id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
+    rows = df.select(F.col(id_col).cast("long").alias("row_id"), F.col(text_col).cast("string").alias("text"), language(lang_col)).where("text is not null")
     return rows.mapInArrow(_flat, "row_id long, start_pos int, end_pos int")
-
-
-def with_unit_ends(df: DataFrame) -> DataFrame:
-    """Of (row_id, text): the same rows with `ends`, the ends of the text's units in order."""
-    return df.mapInArrow(_lists, "row_id long, text string, ends array<int>")

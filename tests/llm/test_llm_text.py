@@ -30,6 +30,30 @@ def test_units(text, want):
     assert [text[a:b] for a, b in sentence_units(text)] == want
 
 
+@pytest.mark.parametrize("text,lang,n", [
+    ("Dijo que no. Luego salió de la sala.", None, 2), ("Dijo que no. Luego salió de la sala.", "es-MX", 2), ("I said no. Then he left.", " EN", 2), ("This is art. Then we left.", "en", 2),
+    ("Véase el art. 5 y el No. XX del anexo.", "es", 1), ("See no. 7 and art. V here.", "en", 1),
+    ("Cruzó el mar. Después volvió.", "es", 2), ("On Mar. 5 he left.", "en", 1), ("Er kam bzw. Sie ging.", "de", 1), ("Er kam bzw. Sie ging.", "es", 2), ("Er kam bzw. Sie ging.", "xx", 1),
+    ("ខ្ញុំទៅផ្ទះ។ នាងមក។", None, 2), ("မြန်မာ။ စာ။", None, 2), ("ᬅᬓ᭞ ᬅᬓ᭟ ᬅ", None, 3), ("今日は。明日は！", "ja", 2),
+])
+def test_units_by_language_and_script(text, lang, n):
+    assert len(sentence_units(text, lang)) == n
+
+
+def test_every_terminator_of_the_property_ends_a_unit():
+    import regex
+
+    found = [c for c in map(chr, range(0x80, 0x20000)) if regex.fullmatch(r"\p{Sentence_Break=STerm}", c)]
+    assert len(found) > 150 and all(len(sentence_units(f"ཀཁག{c} ཀཁག")) == 2 for c in found)
+
+
+def test_a_very_long_text_is_cut_in_linear_time(spark):
+    text = ("Una frase corta. " * 9 + "\n") * 40_000
+    df = spark.createDataFrame([(1, text)], "id long, t string")
+    got = split_oversized(df, "id", "t").collect()
+    assert max(r.end_pos for r in got) == len(text) and [(r.start_pos, r.end_pos) for r in sorted(got, key=lambda r: r.piece_no)[:15]] == pieces(text[:30_000], 1500, 200)[:15]
+
+
 def test_units_cover_all_but_white_space():
     rng = random.Random(1)
     for _ in range(300):
