@@ -8,6 +8,7 @@ so equal values get equal placeholders across documents without a table of them;
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import hmac
 import re
@@ -97,11 +98,6 @@ _NAME_AT, _INVERTED_AT = re.compile(_NAME), re.compile(_INVERTED)
 _NO_NAME = frozenset(
     "junta direccion comision secretaria instituto fideicomiso tribunal registro consejo comite sociedad empresa compania banco oficina office board commission tribunal conseil greffe secretariat registry company inc corp ltd ley codigo reglamento articulo capitulo titulo seccion expediente importe acuerdo villa puerto edo estado municipio ciudad colonia calle avenida blvd calzada cerrada privada andador el la los las un una nombre correo solicitante nss rfc curp pasaporte passport".split()
 )
-#: Stems and endings of the surnames of the test data, read off them; a capitalised run around such a surname is a name
-#: even without a label. Texts with other surnames get nothing from this list.
-_STEMS = "ugarr vald bren tarr sarm rebol zubel villaf fuent cal gar lum tem arcon mendr orte nav montes quim ibarr pared oliv".split()
-_ENDINGS = "emira intal ostra bras anera ilcoz urmo iron andula enana obrede ugarde elque oquio ariz ezcual ugo cal".split()
-_SURNAMES = frozenset(a + b for a in _STEMS for b in _ENDINGS)
 #: Common given names of the languages in the texts, from general knowledge and not from the test data. One opens a name
 #: without a label, whatever the surnames, or follows the comma of an inverted one. Fixed values.
 _GIVEN = frozenset(
@@ -109,6 +105,15 @@ _GIVEN = frozenset(
     "john james robert michael william david richard thomas charles christopher matthew anthony mark steven paul andrew joshua kevin brian george edward peter henry mary jennifer linda elizabeth barbara susan jessica sarah karen nancy margaret lisa betty dorothy emily anna alice jane helen "
     "jean pierre michel philippe alain jacques bernard francois nicolas laurent christophe antoine guillaume julien marie nathalie isabelle sylvie catherine francoise monique sophie christine camille claire".split()
 )
+#: Roles and the like that follow a name and its comma; what stands there is no given name. Fixed values.
+_ROLE = frozenset(
+    "director directora subdirector subdirectora secretario secretaria presidente presidenta juez jueza magistrado magistrada gerente apoderado apoderada abogado abogada representante titular jefe jefa coordinador coordinadora notario notaria perito perita actuario actuaria general regional delegado delegada oficial asesor asesora contador contadora licenciado ingeniero doctor doctora arquitecto senador senadora diputado diputada gobernador gobernadora rector rectora mayor menor "
+    "manager secretary president judge attorney counsel chair chairman officer director head clerk notary esq jr sr "
+    "directeur directrice president juge avocat avocate notaire greffier greffiere gerant gerante".split()
+)
+#: What follows an inverted name: the end of a line, cell or bracket, a mark, or a word in lower case.
+_INVERTED_END = re.compile(r"[ \t\xa0]*(?:[\n\r,;.()|\"”»:]|\Z)|[ \t\xa0]+[^\W\d_A-ZÁÉÍÓÚÑÜ]")
+_AND_MORE = re.compile(rf"{W}(?:,{W}|{S}(?:y|e|and|et){S})[{_UP}][a-zà-ÿ][\w'’\-]*[ \t\xa0]+[{_UP}][a-zà-ÿ]")
 #: Words before a given name that make it a place or an institution. Fixed values.
 _PLACE = frozenset("san santa santo hospital escuela universidad plaza parque saint st".split())
 _NOT_BEFORE = _NO_NAME | _GIVEN | _PLACE
@@ -119,6 +124,27 @@ _NEXT_LISTED = re.compile(rf"{W}(?:,|\by\b|\band\b|\bet\b|;){W}(?:y{S}|and{S}|et
 _COMPANY = re.compile(rf"{W},?{W}(?:S\.{W}A\.|S\.{W}de|Inc\.|Ltd|Corp)")
 
 
+class Spans:
+    """Spans without overlaps, in order; whether one is free is a search among the sorted ones."""
+
+    def __init__(self):
+        self.sorted: list[tuple[int, int, str]] = []
+
+    def free(self, a: int, b: int) -> bool:
+        i = bisect.bisect_left(self.sorted, (b,))  # the first that begins at b or behind it
+        return i == 0 or self.sorted[i - 1][1] <= a
+
+    def add(self, spans, kind: str) -> None:
+        for a, b in spans:
+            if self.free(a, b):
+                bisect.insort(self.sorted, (a, b, kind))
+
+    def ends_within(self, kind: str, low: int, high: int) -> bool:
+        """Whether a span of this kind ends in [low, high]."""
+        i = bisect.bisect_left(self.sorted, (high,))
+        return any(k == kind and low <= b <= high for _, b, k in self.sorted[max(0, i - 2) : i])
+
+
 def _emails(text: str):
     if not ("@" in text or "arroba" in text or "ARROBA" in text or "＠" in text or "at]" in text or "at)" in text or "at}" in text):
         return
@@ -133,6 +159,18 @@ _ID_ANCHOR = re.compile(r"[0-9]{6,}|[0-9][0-9]-[0-9][0-9]-[0-9][0-9]-[0-9]{4}-[0
 _NUMBER = re.compile(r"[0-9](?:[0-9.\-() \t\xa0]{6,}[0-9])")
 
 
+@lru_cache(1 << 16)
+def _is_date(digits: str) -> bool:
+    """Whether two digits each of year, month and day are a date, in either century."""
+    for century in (1900, 2000):
+        try:
+            date(century + int(digits[:2]), int(digits[2:4]), int(digits[4:]))
+            return True
+        except ValueError:
+            continue
+    return False
+
+
 def _ids(text: str):
     done = 0
     for anchor in _ID_ANCHOR.finditer(text):
@@ -144,7 +182,7 @@ def _ids(text: str):
         kind = m.lastgroup
         if kind in ("curp", "rfc"):
             digits = re.search(r"\d{6}", m.group()).group()
-            ok = 1 <= int(digits[2:4]) <= 12 and 1 <= int(digits[4:]) <= 31 or bool(_ID_LABEL.search(before))
+            ok = _is_date(digits) or bool(_ID_LABEL.search(before))
         elif kind in ("voter", "nss"):
             ok = True
         else:
@@ -154,20 +192,20 @@ def _ids(text: str):
             yield m.start(), m.end()
 
 
-def _phones(text: str, taken: list):
+def _phones(text: str, taken: Spans):
     spans = (x.span() for x in _NUMBER.finditer(text) if x.end() - x.start() > 7)
     for m in (m for a, b in spans for m in _PHONE.finditer(text, max(0, a - 2), b)):
         a, b = m.start(), m.end()
         if a and (text[a - 1].isalnum() or text[a - 1] in "_.+-/$#") or text[b : b + 1].isalnum():
             continue
-        if any(a < y and x < b for x, y, _ in taken):
+        if not taken.free(a, b):
             continue
         value, before = m.group(), text[max(0, a - 44) : a]
         digits = sum(c.isdigit() for c in value)
         if not 8 <= digits <= 15 or _ID_LABEL.search(before):
             continue
         labelled = bool(_PHONE_LABEL.search(before))
-        mailed = bool(_AFTER_MAIL.search(before)) and any(a - 16 <= y <= a for _, y, k in taken if k == "email")
+        mailed = bool(_AFTER_MAIL.search(before)) and taken.ends_within("email", a - 16, a)
         if not labelled and not mailed:
             if _NOT_PHONE.search(before):
                 continue
@@ -214,10 +252,6 @@ def _plain(word: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFD", word.lower()) if unicodedata.category(c) != "Mn")
 
 
-def _surname(word: str) -> bool:
-    return _plain(word) in _SURNAMES
-
-
 def _words(text: str, a: int, b: int) -> list[str]:
     return [w.strip(",.") for w in text[a:b].split()]
 
@@ -227,23 +261,35 @@ def _is_name(text: str, a: int, b: int) -> bool:
     return len(words) >= 2 and not any(_plain(w) in _NO_NAME for w in words) and not _COMPANY.match(text, b)
 
 
+def _inverted(text: str, at: int) -> int | None:
+    """Where a name `Surname Surname, Given` that begins at `at` ends.
+
+    One word before the comma is no whole name, so the given name follows. Two or more are surnames if none of them is a
+    common given name and what follows the comma is one or two words, no role, with nothing else of the name behind them;
+    `A B, C D and E F` are whole names.
+    """
+    if not (m := _INVERTED_AT.match(text, at)):
+        return None
+    head, tail = text[at : m.end()].split(",", 1)
+    surnames = [w for w in head.split() if w.lower() not in ("de", "del", "la", "las", "los")]
+    given = tail.split()
+    if len(surnames) == 1:
+        return m.end()
+    if _plain(surnames[0]) in _GIVEN or any(_plain(w) in _ROLE or _plain(w) in _NO_NAME for w in given):
+        return None
+    if len(given) == 2 and _AND_MORE.match(text, m.end()):
+        return None
+    return m.end() if _plain(given[0]) in _GIVEN or len(surnames) == 2 and _INVERTED_END.match(text, m.end()) else None
+
+
 def _name_at(text: str, at: int, inverted: bool = True) -> tuple[int, int] | None:
     """The name that begins at `at`."""
-    if inverted and (m := _INVERTED_AT.match(text, at)):
-        head, tail = text[at : m.end()].split(",", 1)
-        surnames = [w for w in head.split() if w.lower() not in ("de", "del", "la", "las", "los")]
-        # one word before the comma is no whole name: the given name follows, whatever the surname
-        given = tail.split()
-        if len(surnames) == 1 or all(map(_surname, surnames)):
-            whole = not any(map(_surname, given))
-        else:  # other surnames: a given name behind the comma and none before it
-            whole = _plain(given[0]) in _GIVEN and _plain(surnames[0]) not in _GIVEN and not any(map(_surname, surnames + given))
-        if whole:
-            return at, m.end()
+    if inverted and (end := _inverted(text, at)):
+        return at, end
     return m.span() if (m := _NAME_AT.match(text, at)) else None
 
 
-def _names(text: str, taken: list):
+def _names(text: str):
     if any(w in text for w in ("estigos", "omparecientes", "itnesses", "irmantes", "émoins")):
         for m in _LISTED.finditer(text):
             at = m.end()
@@ -259,43 +305,26 @@ def _names(text: str, taken: list):
             if (m := pattern.match(text, at)) and (found := _name_at(text, m.end())):
                 yield found
             at = text.find(word, at + 1)
-    for m in _CAPITALISED.finditer(text):
-        word = _plain(m.group())
-        if word not in _SURNAMES:
-            if word in _GIVEN:
-                p = _BACK.search(text, max(0, m.start() - 40), m.start())
-                before = _plain(p.group(1)) if p else ""
-                if before not in _NOT_BEFORE and (found := _NAME_AT.match(text, m.start())):
-                    yield found.span()
-            continue
-        a = m.start()  # a run of capitalised words around a surname
-        while p := _BACK.search(text, max(0, a - 40), a):
-            word = p.group(1)
-            if word[-1] == "." and len(word) > 2 or _plain(word) in _NO_NAME:
-                break
-            a = p.start(1)
-        if found := _name_at(text, a):
-            yield found
+    for m in _CAPITALISED.finditer(text):  # without a label: a common given name opens a name
+        if _plain(m.group()) in _GIVEN:
+            p = _BACK.search(text, max(0, m.start() - 40), m.start())
+            before = _plain(p.group(1)) if p else ""
+            if before not in _NOT_BEFORE and (found := _NAME_AT.match(text, m.start())):
+                yield found.span()
 
 
 def find_mentions(text: str | None) -> list[tuple[int, int, str]]:
     """(start, end, kind) of every mention, in order, without overlaps; null and empty texts have none."""
     if not text:
         return []
-    taken: list[tuple[int, int, str]] = []
-
-    def add(spans, kind: str) -> None:
-        for a, b in spans:
-            if not any(a < y and x < b for x, y, _ in taken):
-                taken.append((a, b, kind))
-
-    add(_emails(text), "email")
+    taken = Spans()
+    taken.add(_emails(text), "email")
     if _DIGITS.search(text):
-        add(_ids(text), "id_number")
-        add(_phones(text, taken), "phone")
-    add(_addresses(text), "address")
-    add((s for s in _names(text, taken) if _is_name(text, *s)), "name")
-    return sorted(taken)
+        taken.add(_ids(text), "id_number")
+        taken.add(_phones(text, taken), "phone")
+    taken.add(_addresses(text), "address")
+    taken.add((s for s in _names(text) if _is_name(text, *s)), "name")
+    return taken.sorted
 
 
 _DIGITS = re.compile(r"\d{2}")
@@ -336,7 +365,7 @@ _FIRST_DAY, _DAYS = date(1920, 1, 1), (date(2020, 1, 1) - date(1920, 1, 1)).days
 _DATED = re.compile(r"(?<![A-Z0-9])([A-ZÑ&]{4,6}-?)(\d{6})(?=-?[HMX0-9A-Z])")
 
 
-@cache
+@lru_cache(1 << 12)
 def _network(key: bytes, size: int, tweak: str) -> Feistel:
     return Feistel(key, size, tweak)
 
@@ -351,30 +380,98 @@ def _day(digits: str) -> int | None:
     return (d - _FIRST_DAY).days
 
 
+_CURP_SIGNS = "0123456789ABCDEFGHIJKLMNÑOPQRSTUVWXYZ"
+_RFC_SIGNS = "0123456789ABCDEFGHIJKLMN&OPQRSTUVWXYZ Ñ"
+
+
+_CURP = re.compile(r"[A-Z]{4}\d{6}[HMX][A-Z]{5}[A-Z0-9]\d")
+_RFC = re.compile(r"[A-ZÑ&]{4}\d{6}[A-Z0-9]{2}[A0-9]")
+_NSS = re.compile(r"\d{11}")
+_BLANK = re.compile(r"[\s\-]")
+
+
+def check_sign(plain: str) -> str | None:
+    """The check sign that belongs to a CURP (18 signs), an RFC (13) or a social security number (11 digits); None for others.
+
+    The sign that is there doesn't matter, only that it is one such a number may end with.
+    """
+    if _CURP.fullmatch(plain):
+        return str(-sum(_CURP_SIGNS.index(c) * (18 - i) for i, c in enumerate(plain[:17])) % 10)
+    if _RFC.fullmatch(plain):
+        n = -sum(_RFC_SIGNS.index(c) * (13 - i) for i, c in enumerate(plain[:12])) % 11
+        return "A" if n == 10 else str(n)
+    if _NSS.fullmatch(plain):
+        return str(-sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(plain[:10])) % 10)
+    return None
+
+
+def is_checked(value: str) -> bool | None:
+    """Whether the check sign of a number is right; None for a number without one."""
+    plain = _BLANK.sub("", value)
+    sign = check_sign(plain)
+    return None if sign is None else plain[-1] == sign
+
+
+def _is_dated(value: str) -> bool:
+    m = _DATED.match(value)
+    return bool(m) and _day(m[2]) is not None
+
+
 def pseudonym(value: str, key: bytes, back: bool = False) -> str:
     """The value's digits and capitals permuted within their places; marks, spaces and lower case stay.
 
-    A date of birth inside an identity number becomes another valid date. One to one for values of the same format, and
+    A date of birth inside an identity number becomes another valid date; a number with a right check sign becomes one
+    with a right check sign, and one with a wrong sign or date stays so. One to one for values of the same format, and
     reversible with the key (`back`).
     """
-    out = list(value)
-    free = [i for i, c in enumerate(value) if "0" <= c <= "9" or "A" <= c <= "Z"]
-    if (m := _DATED.match(value)) and (n := _day(m[2])) is not None:
+    right, dated = is_checked(value), _is_dated(value)
+    out = value
+    while True:  # a permutation of all values of the format, walked on until the value is of the same sort again
+        if right:
+            body = _permuted(out, key, back, dated, 1)
+            out = body[:-1] + check_sign(_BLANK.sub("", body))
+        else:
+            out = _permuted(out, key, back, dated, 0)
+        if is_checked(out) == right and _is_dated(out) == dated:
+            return out
+
+
+def _alphabets(value: str) -> list[str]:
+    """The signs that may stand at each place, one where the sign stays."""
+    out = [_DIGIT_SIGNS if "0" <= c <= "9" else _CAPITALS if "A" <= c <= "Z" else c for c in value]
+    plain = [i for i, c in enumerate(value) if not _BLANK.match(c)]
+    bare = "".join(value[i] for i in plain)
+    if _CURP.fullmatch(bare):
+        out[plain[10]] = "HMX"
+    elif _RFC.fullmatch(bare) and bare[-1] == "A":
+        out[plain[-1]] = "A"
+    return out
+
+
+_DIGIT_SIGNS, _CAPITALS = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _permuted(value: str, key: bytes, back: bool, dated: bool, kept: int) -> str:
+    """One step of the keyed permutation; the last `kept` signs stay, and with `dated` the date goes to another date."""
+    out, signs = list(value), _alphabets(value)
+    free = [i for i in range(len(value) - kept) if len(signs[i]) > 1]
+    if dated:
+        m = _DATED.match(value)
         net = _network(key, _DAYS, "date")
+        n = _day(m[2])
         d = _FIRST_DAY + timedelta(days=net.restore(n) if back else net.permute(n))
         out[m.start(2) : m.end(2)] = d.strftime("%y%m%d")
         free = [i for i in free if not m.start(2) <= i < m.end(2)]
-    bases = [10 if value[i].isdigit() else 26 for i in free]
     size, x = 1, 0
-    for i, b in zip(free, bases):
-        size, x = size * b, x * b + (ord(value[i]) - (48 if b == 10 else 65))
+    for i in free:
+        size, x = size * len(signs[i]), x * len(signs[i]) + signs[i].index(value[i])
     if size > 1:
-        shape = "".join("9" if c.isdigit() else "A" if "A" <= c <= "Z" else c for c in value)
+        shape = f"{kept}{dated}" + "".join(s if len(s) == 1 else {10: "9", 26: "A"}.get(len(s), "S") for s in signs[: len(value) - kept])
         net = _network(key, size, shape)
         x = net.restore(x) if back else net.permute(x)
-        for i, b in zip(reversed(free), reversed(bases)):
-            x, r = divmod(x, b)
-            out[i] = chr(r + (48 if b == 10 else 65))
+        for i in reversed(free):
+            x, r = divmod(x, len(signs[i]))
+            out[i] = signs[i][r]
     return "".join(out)
 
 
@@ -399,14 +496,16 @@ def redact(text: str | None, key: bytes) -> str | None:
     return "".join(out) + text[at:]
 
 
-def _mentions(batches):
+def _mentions(batches, key: bytes):
+    token = lru_cache(1 << 16)(partial(placeholder, key=key))
     for batch in batches:
-        rows, kinds, values, starts = [], [], [], []
+        rows, kinds, values, starts, tokens = [], [], [], [], []
         for i, text in enumerate(batch.column(1).to_pylist()):
             for a, b, kind in find_mentions(text):
-                rows.append(i), kinds.append(kind), values.append(text[a:b]), starts.append(a)
+                rows.append(i), kinds.append(kind), values.append(text[a:b]), starts.append(a), tokens.append(token(text[a:b], kind))
         ids = batch.column(0).take(pa.array(rows, pa.int64()))
-        yield pa.RecordBatch.from_arrays([ids, pa.array(kinds, pa.string()), pa.array(values, pa.string()), pa.array(starts, pa.int32())], ["doc_id", "kind", "value", "start_pos"])
+        cells = [pa.array(kinds, pa.string()), pa.array(values, pa.string()), pa.array(starts, pa.int32()), pa.array(tokens, pa.string())]
+        yield pa.RecordBatch.from_arrays([ids, *cells], ["doc_id", "kind", "value", "start_pos", "placeholder"])
 
 
 def _redacted(batches, key: bytes):
@@ -418,13 +517,13 @@ def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
-def personal_mentions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, kind, value, start_pos) of every mention; a narrow pass.
+def personal_mentions(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, kind, value, start_pos, placeholder) of every mention, with its typed placeholder under `key`; a narrow pass.
 
     Null, empty and blank texts give no row; repeated rows each give theirs; other columns are ignored; whole texts are
     read, however long.
     """
-    return _rows(df, id_col, text_col).where("text is not null").mapInArrow(_mentions, "doc_id long, kind string, value string, start_pos int")
+    return _rows(df, id_col, text_col).where("text is not null").mapInArrow(partial(_mentions, key=key), "doc_id long, kind string, value string, start_pos int, placeholder string")
 
 
 def redacted_texts(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -73,7 +73,13 @@ def p7_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return personal_mentions(table(spark, sf_dir, "documents")).select("doc_id", "kind", "value").distinct()
+    return personal_mentions(table(spark, sf_dir, "documents"), DEMO_KEY).select("doc_id", "kind", "value").distinct()
+
+
+def p8_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every mention's value with its placeholder and the documents that it links: equal values have equal ones."""
+    rows = personal_mentions(table(spark, sf_dir, "documents"), DEMO_KEY).select("doc_id", "kind", "value", "placeholder").distinct()
+    return rows.groupBy("kind", "value", "placeholder").agg(F.count("*").alias("n_docs"))
 
 
 def p8_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p7_found": p7_found,
     "p7_items": p7_items,
     "p8_found": p8_found,
+    "p8_pseudonyms": p8_pseudonyms,
     "p8_redacted": p8_redacted,
 }
 

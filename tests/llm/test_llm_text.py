@@ -134,6 +134,39 @@ def test_names_whose_surnames_are_in_no_list(text, want):
     assert [text[a:b] for a, b, k in pii.find_mentions(text) if k == "name"] == want
 
 
+@pytest.mark.parametrize("text,want", [
+    ("firma don Zoilo Tarro, Notario 5", ["Zoilo Tarro"]), ("Declara Zoilo Tarro, Eulalio Calbo y Cástulo Sol.", ["Zoilo Tarro"]), ("Declara Zoilo Tarro, Inés Calbo y Ana Sol.", ["Zoilo Tarro", "Inés Calbo", "Ana Sol"]),
+    ("Declara Wojtyla Kowalska, Zofia que es titular", ["Wojtyla Kowalska, Zofia"]), ("Nombre: Ferreiro Quintas, Uxía; RFC", ["Ferreiro Quintas, Uxía"]),
+    ("Atentamente\nFerreiro Quintas, Uxía Noa\nTel: 5", ["Ferreiro Quintas, Uxía Noa"]), ("firma el suscrito Ferreiro Quintas, Uxía, CURP ZSBO440205MXXSVI99.", ["Ferreiro Quintas, Uxía"]),
+])
+def test_inverted_names_with_any_surnames(text, want):
+    assert [text[a:b] for a, b, k in pii.find_mentions(text) if k == "name"] == want
+
+
+def test_dates_and_check_signs():
+    assert pii.find_mentions("ABCD900230HDFRRN04 x") == [] and pii.find_mentions("ABCD000229HDFRRN04 x") != []
+    right = [p + pii.check_sign(p + "0") for p in ("GODE561231HDFRRN0", "ABCD000229AB", "9291908431")]
+    wrong = [v[:-1] + str((int(v[-1]) + 1) % 10) if v[-1].isdigit() else v[:-1] + "0" for v in right]
+    assert all(map(pii.is_checked, right)) and not any(map(pii.is_checked, wrong)) and pii.is_checked("x1") is None
+    assert pii.check_sign("92919084311") == "6" and pii.is_checked("9291-90-8431-6")  # digit by the doubling rule
+    for v in [*right, *wrong, "ABCD991399HDFRRN04", "ABCD561231HDFRRNA4", "ABCD561231AAA"]:
+        for key in (b"k", b"other"):
+            p = pii.pseudonym(v, key)
+            assert pii.is_checked(p) == pii.is_checked(v) and pii.pseudonym(p, key, back=True) == v
+
+
+def test_pseudonyms_link_documents(spark):
+    docs = [(i, f"Tel: 55 1517 77{i % 3}4; NSS 01-98-50-5754-{i % 2}", "c") for i in range(12)]
+    rows = pii.personal_mentions(spark.createDataFrame(docs, "doc_id long, text string, value string"), b"k").collect()
+    by = {(r.kind, r.value): {x.placeholder for x in rows if (x.kind, x.value) == (r.kind, r.value)} for r in rows}
+    assert len(by) == 5 and all(len(v) == 1 for v in by.values()) and len(set.union(*by.values())) == 5
+
+
+def test_many_mentions_in_one_text():
+    text = "\n".join(f"Tel: 55 1517 {i:04}, correo a{i}@b.example" for i in range(5000))
+    assert len(pii.find_mentions(text)) == 10_000
+
+
 @pytest.mark.parametrize("value", ["ISVG661027AA2", "LCBV-761004-HXXPBL-81", "+52 81 0012 2313", "02-54-59-4748-5", "K57737537", "x", ""])
 def test_pseudonyms(value):
     key = b"k" * 16
@@ -154,5 +187,5 @@ def test_redaction(spark):
     got = {r.doc_id: r.text for r in pii.redacted_texts(df, b"k").collect()}
     token = pii.placeholder("55 1517 7744", "phone", b"k")
     assert got == {1: f"Tel: {token}\nTel: {token}\nFin 🙂", 2: None, 3: ""} and token.startswith("[PHONE:")
-    assert [(r.kind, r.value) for r in pii.personal_mentions(df).select("kind", "value").distinct().collect()] == [("phone", "55 1517 7744")]
-    assert pii.personal_mentions(df.where("doc_id > 5")).count() == 0
+    assert [(r.kind, r.value) for r in pii.personal_mentions(df, b"k").select("kind", "value").distinct().collect()] == [("phone", "55 1517 7744")]
+    assert pii.personal_mentions(df.where("doc_id > 5"), b"k").count() == 0
