@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from folioforge.llm.chunks import split_oversized
 from folioforge.llm.encode import decode_column, encode_column
-from folioforge.llm.leakage import find_leaks
+from folioforge.llm.leakage import find_edited_items, find_leaks
 from folioforge.llm.near_dup import near_duplicates
 from folioforge.llm.pii import personal_mentions, redacted_texts
 from folioforge.llm.sentences import sentences
@@ -40,7 +40,7 @@ def _sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "provisions").select(
         "row_id", "instrument_id", "markdown", one_spelling(F.col("provider")).alias("provider"), one_language(F.col("lang")).alias("lang")
     )
-    return rows.join(bounded_broadcast(domains.dropDuplicates(["instrument_id"])), "instrument_id", "left")
+    return rows.join(bounded_broadcast(domains.groupBy("instrument_id").agg(F.min("domain").alias("domain"))), "instrument_id", "left")
 
 
 def p3_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +65,11 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"), run=12)
 
 
+def p7_edited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items whose opening or end stands in a document with an edit or, from 24 words on, two."""
+    return find_edited_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
 def p7_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of every item, in how many documents it leaked."""
     items = table(spark, sf_dir, "eval_items").select("item_id", "task")
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_ids": p6_ids,
     "p6_round_trip": p6_round_trip,
     "p7_found": p7_found,
+    "p7_edited": p7_edited,
     "p7_items": p7_items,
     "p8_found": p8_found,
     "p8_pseudonyms": p8_pseudonyms,

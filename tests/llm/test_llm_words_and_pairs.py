@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 import re
 import unicodedata
 
@@ -185,6 +186,56 @@ def test_leaks_with_an_edit(spark):
     assert found <= {(i, i) for i in range(20)} and len(found) >= 18
 
 
+def edited(rng, words, n):
+    words = list(words)
+    for _ in range(n):
+        at = rng.randrange(len(words))
+        kind = rng.randrange(3)
+        words[at : at + (kind != 1)] = [] if kind == 2 else make(rng, 1)
+    return words
+
+
+def edited_rows():
+    """Items of several sizes, and documents with edited openings, middles and ends of them."""
+    rng = random.Random(17)
+    items = [(i, " ".join(make(rng, rng.choice([8, 12, 13, 23, 24, 30, 47, 48, 60])))) for i in range(14)] + [(60, None), (61, "")]
+    docs = []
+    for d in range(60):
+        source = plain(rng.choice(items[:14])[1])
+        part = source if d % 3 else source[: max(12, len(source) * 2 // 3)]
+        docs.append((d, " ".join(make(rng, rng.randrange(0, 30)) + edited(rng, part, d % 4) + make(rng, rng.randrange(0, 30))), "c"))
+    return docs + [(200, None, "c"), (201, "", "c"), (0, docs[0][1], "c")], items
+
+
+def edited_pairs(docs, items, least=12):
+    out = set()
+    for i, t in items:
+        w, run = plain(t), least
+        if len(w) < least:
+            continue
+        while 2 * run <= len(w):
+            run *= 2
+        ends, most = {tuple(w[:run]), tuple(w[-run:])}, min(2, run // least)
+        number = {x: n for n, x in enumerate({*w})}
+        for d, text, _ in docs:
+            v = plain(text)
+            for k in range(len(v) - run + 1):
+                window = v[k : k + run]
+                for e in ends:  # an edit takes one word away at the most
+                    if (d, i) not in out and sum((Counter(e) & Counter(window)).values()) >= run - most and leakage.edit_distance(np.array([number[x] for x in e]), np.array([number.get(x, -1) for x in window])) <= most:
+                        out.add((d, i))
+    return out
+
+
+@pytest.mark.parametrize("index_octets", [leakage.INDEX_OCTETS, 0])
+def test_edited_items_against_brute_force(spark, index_octets):
+    docs, items = edited_rows()
+    left, right = spark.createDataFrame(docs, "doc_id long, text string, item_id string"), spark.createDataFrame(items, "item_id long, text string")
+    got = [(r.doc_id, r.item_id) for r in leakage.find_edited_items(left, right, index_octets=index_octets).collect()]
+    want = edited_pairs(docs, items)
+    assert len(got) == len(set(got)) and set(got) <= want and len(want) > 20 and len(got) >= 0.9 * len(want)
+
+
 def test_leaks_of_nothing(spark):
     d, i = spark.createDataFrame([], "doc_id long, text string"), spark.createDataFrame([(1, "a " * 20)], "item_id long, text string")
     assert leakage.find_leaks(d, i).count() == 0 and leakage.find_leaks(i.toDF("doc_id", "text"), d.toDF("item_id", "text")).count() == 0
