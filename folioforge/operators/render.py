@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+from functools import partial
+from pathlib import Path
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +61,31 @@ def write_records(df: DataFrame, out: str, by: str = "instrument", mode: str = "
     df.select(by, F.col("record").alias("value")).write.mode(mode).partitionBy(by).text(out, lineSep="\x1e\n")
 
 
+def _one_file_each(batches, root: str):
+    for batch in batches:
+        for folder, name, text in zip(*(c.to_pylist() for c in batch.columns)):
+            path = Path(root, folder, "markdown", f"{name}.md")
+            path.parent.mkdir(parents=True, exist_ok=True)
+            part = path.with_name(f".{path.name}.{uuid.uuid4().hex}")
+            part.write_text(text, encoding="utf-8", newline="")
+            os.replace(part, path)  # a task that runs again puts the same file in place
+        yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+
+def write_record_files(df: DataFrame, out: str, by: str = "instrument", name: str = "file_name", record: str = "record") -> int:
+    """One file a record, `<out>/<by>/markdown/<name>.md`, for readers that want files; returns how many were written.
+
+    `out` is a folder that all executors have mounted (`file:` or a plain path). Rows with a null among the three columns
+    are left out; of rows with the same name the last to be written stays. For data that is read again by an engine,
+    `write_records` or a table is the better sink.
+    """
+    root = out.removeprefix("file://").removeprefix("file:")
+    if "://" in root:
+        raise ValueError("records are written as files to a mounted folder only")
+    rows = df.select(by, name, record).dropna()
+    return rows.mapInArrow(partial(_one_file_each, root=root), "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def read_records(spark: SparkSession, out: str) -> DataFrame:
     """Records written by `write_records`, with the partition column."""
     return spark.read.text(out, lineSep="\x1e\n").withColumnRenamed("value", "record")

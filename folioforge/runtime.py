@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: A side is broadcast only below this many rows; beyond it the join is left to the optimizer (shuffle).
 BROADCAST_ROWS = 100_000
+#: And below this many bytes of text and fixed-size values.
+BROADCAST_OCTETS = 64 << 20
 
 
 def build_session(app: str = "folioforge", master: str | None = None, **conf: str) -> SparkSession:
@@ -105,6 +107,8 @@ def release(spark: SparkSession, *done: DataFrame) -> None:
     jvm.System.gc()
 
 
-def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """`broadcast(df)` if a count shows at most `limit` rows, else `df` unhinted (a shuffle join follows)."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS, octets: int = BROADCAST_OCTETS) -> DataFrame:
+    """`broadcast(df)` if it has at most `limit` rows and `octets` bytes, counted, else `df` unhinted (a shuffle join follows)."""
+    sizes = [F.coalesce(F.octet_length(f.name), F.lit(0)) if f.dataType.typeName() in ("string", "binary") else F.lit(16) for f in df.schema]
+    rows, size = df.select(*[x.cast("long").alias(f"s{i}") for i, x in enumerate(sizes)]).limit(limit + 1).agg(F.count("*"), F.sum(sum((F.col(f"s{i}") for i in range(len(sizes))), F.lit(0)))).first()
+    return F.broadcast(df) if rows <= limit and (size or 0) <= octets else df

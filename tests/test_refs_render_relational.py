@@ -1,10 +1,12 @@
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from folioforge.operators import refs, relational, render
 from folioforge.operators.components import connected_components
 from folioforge.plans import catalogue
-from folioforge.plans.relational import global_rank
+from folioforge.plans.relational import global_rank, percent_rank
+from folioforge.runtime import bounded_broadcast
 from folioforge.sources import files
 
 
@@ -138,6 +140,31 @@ def test_record_round_trip(spark, tmp_path):
     assert render.read_records(spark, f"file://{tmp_path}/r").first()["record"] == text
 
 
+def test_a_file_for_each_record(spark, tmp_path):
+    rows = [("a", "articulo-1", "uno\r\n"), ("a", "articulo-2", "dos"), ("b", "articulo-1", ""), ("b", None, "x"), ("b", "y", None)]
+    df = spark.createDataFrame(rows, "instrument string, file_name string, record string")
+    assert render.write_record_files(df, f"file://{tmp_path}/out") == 3 == render.write_record_files(df, f"file://{tmp_path}/out")
+    assert sorted(str(p.relative_to(tmp_path / "out")) for p in (tmp_path / "out").rglob("*") if p.is_file()) == ["a/markdown/articulo-1.md", "a/markdown/articulo-2.md", "b/markdown/articulo-1.md"]
+    assert (tmp_path / "out/a/markdown/articulo-1.md").read_bytes() == b"uno\r\n"
+    with pytest.raises(ValueError):
+        render.write_record_files(df, "s3://x/y")
+
+
+def test_percent_rank(spark):
+    rows = [(i, "ab"[i % 2] if i else None, (i * 7) % 5) for i in range(41)] + [(99, "z", 1)]
+    df = spark.createDataFrame(rows, "k long, g string, v int")
+    w = Window.partitionBy("g").orderBy("v")
+    want = {r.k: r.s for r in df.select("k", F.round(F.percent_rank().over(w), 9).alias("s")).collect()}
+    assert {r.k: r.share for r in percent_rank(df, "g", "v", "k").collect()} == want
+
+
+def test_broadcast_is_bounded_by_bytes_too(spark):
+    df = spark.createDataFrame([("x" * 1000, 1)] * 20, "a string, b int")
+    hinted = lambda x: "broadcast" in x._jdf.queryExecution().logical().toString().lower()
+    assert hinted(bounded_broadcast(df)) and not hinted(bounded_broadcast(df, octets=10_000)) and not hinted(bounded_broadcast(df, limit=19))
+    assert hinted(bounded_broadcast(df.where("b > 1")))
+
+
 def test_formats_and_quarantine(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (2, None)], "x long, y string")
     for kind in ("parquet", "orc", "json", "csv"):
