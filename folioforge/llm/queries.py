@@ -107,6 +107,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p8_redacted": p8_redacted,
 }
 
+_WORDS = "regexp_extract_all(strip_accents(lower({})), '[a-z0-9]+')"
+
+#: Every pair of rows with a common run of words, its exact similarity, and what can be reached over links.
+_GROUPS = f"""
+with recursive w as (select row_id, {_WORDS.format('markdown')} as w from provisions where markdown is not null),
+s as (select distinct row_id, unnest(list_transform(generate_series(1, len(w) - 2), lambda k: w[k] || ' ' || w[k + 1] || ' ' || w[k + 2])) as g from w where len(w) >= 40),
+n as (select row_id, count(*) as n from s group by 1),
+p as (select a.row_id as a, b.row_id as b, count(*) as c from s a join s b on a.g = b.g and a.row_id < b.row_id group by 1, 2),
+l as (select a, b from p join n x on x.row_id = a join n y on y.row_id = b where 2 * c >= x.n + y.n - c),
+e as (select a, b from l union all select b, a from l),
+r(node, other) as (select distinct a, a from e union select r.node, e.b from r join e on e.a = r.other)
+select min(other) as group_id, node as row_id from r group by node having min(other) <> node"""
+
+#: Every run of twelve words of the items in every run of the documents.
+_LEAKS = f"""(
+with d as (select doc_id, {_WORDS.format('text')} as w from documents where text is not null),
+i as (select item_id, {_WORDS.format('text')} as w from eval_items where text is not null),
+x as (select doc_id, unnest(list_transform(generate_series(1, len(w) - 11), lambda k: array_to_string(w[k : k + 11], ' '))) as g from d),
+y as (select distinct item_id, unnest(list_transform(generate_series(1, len(w) - 11), lambda k: array_to_string(w[k : k + 11], ' '))) as g from i)
+select distinct doc_id, item_id from x join y using (g))"""
+
 ORACLES: dict[str, str] = {
+    "p2_found": _GROUPS,
+    "p7_found": f"select doc_id, item_id from {_LEAKS}",
+    "p7_items": f"select item_id, task, coalesce(n, 0)::bigint as n_docs from eval_items left join (select item_id, count(*) as n from {_LEAKS} group by 1) using (item_id)",
     "p6_round_trip": "select doc_id, sha256(coalesce(text, '')) as text_sha256 from documents",
 }
