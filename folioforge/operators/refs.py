@@ -84,8 +84,13 @@ def reference_ranges(refs: DataFrame, id_col: str) -> DataFrame:
 
 
 def expand_ranges(ranges: DataFrame, articles: DataFrame, keys: list[str], width: int = 64) -> DataFrame:
-    """Ranges with the `articles(keys, n, id)` inside: both in buckets of `width` numbers, joined by equality."""
-    r = ranges.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("low") / width), F.floor(F.col("high") / width))))
+    """Ranges with the `articles(keys, n, id)` inside: both in buckets of `width` numbers, joined by equality.
+
+    A range is cut to the numbers that its group has, so a mistyped end opens no more buckets than there are.
+    """
+    known = articles.groupBy(*keys).agg(F.min("n").alias("__low"), F.max("n").alias("__high"))
+    cut = ranges.join(known, keys).withColumns({"low": F.greatest("low", "__low"), "high": F.least("high", "__high")}).drop("__low", "__high")
+    r = cut.where("low <= high").withColumn("bucket", F.explode(F.sequence(F.floor(F.col("low") / width), F.floor(F.col("high") / width))))
     a = articles.withColumn("bucket", F.floor(F.col("n") / width))
     return r.join(a, [*keys, "bucket"]).where("n between low and high").drop("bucket")
 

@@ -50,6 +50,8 @@ def test_ranges(spark):
     articles = spark.createDataFrame([("i", n, f"a{n}") for n in (2, 3, 5, 6, 12, 63, 64, 128, 200, 201)] + [("j", 4, "b4"), ("i", None, "x")], "g string, n int, a string")
     got = {r.a for r in refs.expand_ranges(spans.withColumn("g", F.lit("i")), articles, ["g"]).collect()}
     assert got == {"a3", "a5", "a12", "a63", "a64", "a128", "a200"}
+    wide = spark.createDataFrame([("i", 3, 999_999_999), ("k", 1, 5)], "g string, low int, high int")
+    assert refs.expand_ranges(wide, articles, ["g"]).count() == 9
 
 
 def test_relative_references_and_missed_tails(spark):
