@@ -68,9 +68,13 @@ def terminators() -> str:
     return "".join(sorted({*regex.findall(r"\p{Sentence_Break=STerm}", every), *"…．｡"}))
 
 
+_BEYOND = re.compile("[\U00010000-\U0010ffff]")
+
+
 @cache
-def _event() -> re.Pattern:
-    t = re.escape(terminators())
+def _event(beyond: bool) -> re.Pattern:
+    """What may end a unit. Texts with no character beyond the first plane have a pattern without those, which is faster."""
+    t = re.escape("".join(c for c in terminators() if beyond or c < "\U00010000"))
     return re.compile(f"[.{t}]+|[{''.join(map(re.escape, QUOTES))}]|(?<={_THAI})[ \xa0]+(?={_THAI})")
 
 
@@ -137,7 +141,7 @@ def _stop_ends(text: str, start: int, dot: int, after: int, end: int, goes_on: f
     return not (token[-1:].isupper() and _ORDINAL.fullmatch(low))
 
 
-def _line_units(text: str, begin: int, end: int, out: list, goes_on: frozenset) -> None:
+def _line_units(text: str, begin: int, end: int, out: list, goes_on: frozenset, event: re.Pattern) -> None:
     while begin < end and text[begin].isspace():
         begin += 1
     while end > begin and text[end - 1].isspace():
@@ -147,7 +151,7 @@ def _line_units(text: str, begin: int, end: int, out: list, goes_on: frozenset)
     if text[begin] in ">#":
         out.append((begin, end))
         return
-    event, start = _event(), begin
+    start = begin
     at = m.end() if (m := _MARKER.match(text, begin, end)) else begin
     while at < end and (m := event.search(text, at, end)):
         mark, at = m.group(), m.end()
@@ -211,9 +215,9 @@ def sentence_units(text: str | None, lang: str | None = None) -> list[tuple[int,
     the abbreviations; null and unknown languages have those of all.
     """
     out: list[tuple[int, int]] = []
-    goes_on = abbreviations(lang)
+    goes_on, event = abbreviations(lang), _event(bool(text and _BEYOND.search(text)))
     for m in _LINE.finditer(text or ""):
-        _line_units(text, m.start(), m.end(), out, goes_on)
+        _line_units(text, m.start(), m.end(), out, goes_on, event)
     return out
 
 
