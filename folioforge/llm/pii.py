@@ -16,6 +16,7 @@ import unicodedata
 from datetime import date, timedelta
 from functools import cache, lru_cache, partial
 
+import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -223,26 +224,50 @@ def _phones(text: str, taken: Spans):
 
 #: Spellings of the Spanish street words, each looked for as it stands: most texts have none.
 _STREET_WORDS = sorted({f(w) for w in "C. |Calle|Av. |Avda.|Avenida|Blvd.|Bulevar|Boulevard|Calz.|Calzada|Cda.|Cerrada|Privada|Priv.|Prol.|Prolongaci|Andador|And. |Paseo|Circuito|Callej|Carretera|Camino|Retorno|Rinconada|Via |Vía |C.\xa0|Av.\xa0|C.\n|Av.\n".split("|") for f in (str, str.upper, lambda w: w[0].lower() + w[1:])})
+_LIST_WORDS = ("estigos", "omparecientes", "itnesses", "irmantes", "émoins")
 _EN_WORDS, _FR_WORDS = ("Street", " St.", "Road", " Rd", "Avenue", " Ave", "Lane", " Ln", "Drive", " Dr", "Boulevard", "Blvd", "Court", " Ct", " Way", "Place", " Pl", "Terrace", "Square", "Row", "Crescent", "Close"), ("rue ", "Rue ", "venue ", "av. ", "oulevard ", "bd ", "impasse ", "place ", "chemin ", "llée ", "quai ", "route ", "cours ", "passage ", "square ")
 
 
-def _places(text: str, words) -> list[int]:
-    """Where any of the words stands, in order."""
-    out = []
-    for w in words:
-        at = text.find(w)
-        while at >= 0:
-            out.append(at)
-            at = text.find(w, at + 1)
-    return sorted(out)
-
-
-def _addresses(text: str):
-    for at in _places(text, _STREET_WORDS):
+@cache
+def _anchors() -> ahocorasick.Automaton:
+    """All literal words that patterns start from, for one pass over a text: word -> (its length, what it is for)."""
+    uses: dict[str, list[tuple[str, int]]] = {}
+    for i, (word, _) in enumerate(_LEADS):
+        uses.setdefault(word, []).append(("lead", i))
+    for kind, words in (("street", _STREET_WORDS), ("en", _EN_WORDS), ("fr", _FR_WORDS), ("list", _LIST_WORDS)):
+        for word in words:
+            uses.setdefault(word, []).append((kind, 0))
+    found = ahocorasick.Automaton()
+    for word, tags in uses.items():
+        found.add_word(word, (len(word), tags))
+    found.make_automaton()
+    return found
+
+
+class Places:
+    """Where the anchors of a text stand."""
+
+    def __init__(self, text: str):
+        self.leads: dict[int, list[int]] = {}
+        self.streets: list[int] = []
+        self.kinds: set[str] = set()
+        for end, (n, tags) in _anchors().iter(text):
+            for kind, i in tags:
+                if kind == "lead":
+                    self.leads.setdefault(i, []).append(end - n + 1)
+                elif kind == "street":
+                    self.streets.append(end - n + 1)
+                else:
+                    self.kinds.add(kind)
+        self.streets.sort()
+
+
+def _addresses(text: str, places: Places):
+    for at in places.streets:
         if m := _ADDRESS.match(text, at):
             yield m.span()
-    for words, pattern in ((_EN_WORDS, _EN_STREET), (_FR_WORDS, _FR_STREET)):
-        if any(w in text for w in words):
+    for kind, pattern in (("en", _EN_STREET), ("fr", _FR_STREET)):
+        if kind in places.kinds:
             for m in pattern.finditer(text):
                 yield m.span()
 
@@ -289,8 +314,8 @@ def _name_at(text: str, at: int, inverted: bool = True) -> tuple[int, int] | Non
     return m.span() if (m := _NAME_AT.match(text, at)) else None
 
 
-def _names(text: str):
-    if any(w in text for w in ("estigos", "omparecientes", "itnesses", "irmantes", "émoins")):
+def _names(text: str, places: Places):
+    if "list" in places.kinds:
         for m in _LISTED.finditer(text):
             at = m.end()
             while found := _name_at(text, at, inverted=False):
@@ -299,12 +324,10 @@ def _names(text: str):
                 if not step:
                     break
                 at = step.end()
-    for word, pattern in _LEADS:
-        at = text.find(word)
-        while at >= 0:
-            if (m := pattern.match(text, at)) and (found := _name_at(text, m.end())):
+    for i in sorted(places.leads):
+        for at in places.leads[i]:
+            if (m := _LEADS[i][1].match(text, at)) and (found := _name_at(text, m.end())):
                 yield found
-            at = text.find(word, at + 1)
     for m in _CAPITALISED.finditer(text):  # without a label: a common given name opens a name
         if _plain(m.group()) in _GIVEN:
             p = _BACK.search(text, max(0, m.start() - 40), m.start())
@@ -317,13 +340,13 @@ def find_mentions(text: str | None) -> list[tuple[int, int, str]]:
     """(start, end, kind) of every mention, in order, without overlaps; null and empty texts have none."""
     if not text:
         return []
-    taken = Spans()
+    taken, places = Spans(), Places(text)
     taken.add(_emails(text), "email")
     if _DIGITS.search(text):
         taken.add(_ids(text), "id_number")
         taken.add(_phones(text, taken), "phone")
-    taken.add(_addresses(text), "address")
-    taken.add((s for s in _names(text) if _is_name(text, *s)), "name")
+    taken.add(_addresses(text, places), "address")
+    taken.add((s for s in _names(text, places) if _is_name(text, *s)), "name")
     return taken.sorted
 
 
