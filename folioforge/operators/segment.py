@@ -39,15 +39,17 @@ def split_provisions(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """
     t = F.regexp_replace(F.translate(text_col, "\x01\x02", ""), "\r\n?", "\n")
     halves = F.split(F.regexp_replace(t, "(?du)" + TRANSITORY_PART, "\x02"), "\x02")
-    late = F.array_join(F.slice(halves, 2, 1 << 30), "\n")
+    late = F.array_join(F.slice("halves", 2, 1 << 30), "\n")
 
     def cut(text: Column, head: str, kind: str) -> Column:
         parts = F.slice(F.split(F.regexp_replace(text, "(?du)" + head, "\x01$1\x02"), "\x01"), 2, 1 << 30)
         return F.transform(parts, lambda x: F.struct(F.lit(kind).alias("provision_type"), F.trim(F.substring_index(x, "\x02", 1)).alias("number"), F.btrim(F.substring_index(x, "\x02", -1), F.lit(" \t\n")).alias("body")))
 
-    parts = F.concat(cut(halves[0], ARTICLE_HEAD, "article"), cut(late, TRANSITORY_HEAD, "transitory"))
-    rows = df.where(F.col(text_col).isNotNull()).select(id_col, F.posexplode(parts).alias("p", "x"))
-    return rows.select(id_col, (F.col("p") + 1).alias("pos"), "x.provision_type", "x.number", "x.body")
+    # each text is cut in two once; most have no transitory part
+    rows = df.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), halves.alias("halves"))
+    articles, transitory = cut(F.col("halves")[0], ARTICLE_HEAD, "article"), cut(late, TRANSITORY_HEAD, "transitory")
+    rows = rows.select("id", F.posexplode(F.when(F.size("halves") > 1, F.concat(articles, transitory)).otherwise(articles)).alias("p", "x"))
+    return rows.select(F.col("id").alias(id_col), (F.col("p") + 1).alias("pos"), "x.provision_type", "x.number", "x.body")
 
 
 def sql_split_provisions(key: str, text: str, table: str) -> str:
